@@ -92,7 +92,7 @@ def raw_events(spark: SparkSession, sf_dir: str, timestamp: str = "s1") -> DataF
         "type",
         F.col(timestamp).alias("timestamp"),
         "event_seq",
-        F.date_format(F.date_add(F.lit("2024-01-14").cast("date"), F.col("_day")), "yyyyMMdd").alias("utcdate"),
+        _pick(F.col("_day"), ["20240114", "20240115", "20240116", "20240117"]).alias("utcdate"),
         F.lpad(F.floor(F.col("s1") % 86400 / 3600).cast("string"), 2, "0").alias("utchour"),
         F.concat(F.lit("site-"), (k % 20).cast("string")).alias("site"),
         (k % 3).cast("int").alias("sourceid"),

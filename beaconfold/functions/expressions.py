@@ -1,4 +1,8 @@
-"""Column expressions shared by the operators. All of them stay on the JVM."""
+"""Expressions shared by the operators. All of them stay on the JVM.
+
+Those used many times over in wide tables are SQL text: a few hundred of them go to the JVM
+in one call each.
+"""
 
 from __future__ import annotations
 
@@ -6,25 +10,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def first_where(value: Column, condition: Column, order: Column) -> Column:
-    """Aggregate: the first non-null ``value`` in ``order`` among rows that meet ``condition``."""
-    return F.min_by(value, F.when(condition & value.isNotNull(), order))
+def literal(text: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def seen(event_type: str) -> Column:
-    """Aggregate: whether the group has an event of this type."""
-    return F.max(F.col("type") == event_type)
+def first_where(value: str, condition: str, order: str) -> str:
+    """Aggregate: the first non-null ``value`` in ``order`` among rows that meet ``condition``."""
+    return f"min_by({value}, CASE WHEN {condition} AND {value} IS NOT NULL THEN {order} END)"
 
 
-def flag_count(flag: Column) -> Column:
+def flag_count(flag: str) -> str:
     """Aggregate: number of true flags, NULL (not 0) where every flag is NULL."""
-    return F.sum(flag.cast("int"))
+    return f"sum(CAST({flag} AS INT))"
 
 
-def local_hour(utchour: Column, tz_offset: int) -> Column:
+def local_hour(utchour: str, tz_offset: int) -> str:
     """Two-digit local hour of a UTC hour label; part-hour offsets are rounded down."""
-    shift = 24 + tz_offset // 3600
-    return F.lpad(((utchour.cast("int") + F.lit(shift)) % F.lit(24)).cast("string"), 2, "0")
+    return f"lpad(CAST((CAST({utchour} AS INT) + {24 + tz_offset // 3600}) % 24 AS STRING), 2, '0')"
 
 
 def base_name(key: Column) -> Column:

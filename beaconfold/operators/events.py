@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconfold.sources.events import ORDER
 
-# How many of the largest keys are treated apart; this bounds what is broadcast.
-MAX_HOT_KEYS = 10_000
+# Keys are counted in this many hash buckets; one is hot at this multiple of the mean bucket.
+HASH_BUCKETS = 65_536
+HOT_FACTOR = 4
 
 
 def dedupe_events(events: DataFrame, keys: Sequence[str], order: str = ORDER) -> DataFrame:
@@ -27,23 +28,31 @@ def dedupe_events(events: DataFrame, keys: Sequence[str], order: str = ORDER) ->
     )
 
 
-def hot_keys(events: DataFrame, keys: Sequence[str], min_rows: int, limit: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, the ``limit`` largest of them.
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS)).alias("_bucket")
 
-    Reads and shuffles only the key columns, pre-counted in the map tasks.
+
+def hot_buckets(events: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """Hash buckets of ``keys`` that hold far more rows than their share.
+
+    A key with a large part of all rows makes its bucket stand out, so reading the key
+    columns once and counting per bucket finds it. A map task sends at most ``HASH_BUCKETS``
+    counts. Counts add up to all rows, so at most ``HASH_BUCKETS / HOT_FACTOR`` buckets can be
+    hot: that bounds the result, which may be broadcast. A key outside hot buckets
+    has under ``min_rows`` rows or under ``HOT_FACTOR / HASH_BUCKETS`` of all.
     """
+    counts = events.groupBy(_bucket(keys)).agg(F.count("*").alias("_rows"))
+    # One row per bucket, so this window is small however large the data.
+    total = F.sum("_rows").over(Window.partitionBy(F.lit(0)))
     return (
-        events.groupBy(*keys)
-        .count()
-        .where(F.col("count") >= min_rows)
-        .orderBy(F.desc("count"))
-        .limit(limit)
-        .select(*keys)
+        counts.withColumn("_share", total * HOT_FACTOR / HASH_BUCKETS)
+        .where((F.col("_rows") >= min_rows) & (F.col("_rows") >= F.col("_share")))
+        .select("_bucket")
     )
 
 
 def split_hot(events: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Events outside and inside a bounded set of keys; NULL keys match each other."""
-    hot = F.broadcast(hot.select([F.col(k).alias(f"_hot_{k}") for k in keys]))
-    match = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    """Events outside and inside the hot buckets of :func:`hot_buckets`."""
+    hot = F.broadcast(hot.withColumnRenamed("_bucket", "_hot"))
+    match = _bucket(keys) == F.col("_hot")
     return events.join(hot, match, "left_anti"), events.join(hot, match, "left_semi")

@@ -24,11 +24,11 @@ def daily_mart(sessions: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame
         .groupBy(*extra_keys, *MART_KEYS)
         .agg(
             F.count("hit_date").alias("imps"),
-            *[flag_count(F.col(flag)).alias(mart_column(flag)) for flag in flags],
+            *[F.expr(f"{flag_count(flag)} AS {mart_column(flag)}") for flag in flags],
         )
     )
     measures = [
-        F.col(f.name) if f.name in counted.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        f.name if f.name in counted.columns else f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
         for f in MART_MEASURES.fields
     ]
-    return counted.select(*extra_keys, *MART_KEYS, *measures)
+    return counted.selectExpr(*extra_keys, *MART_KEYS, *measures)

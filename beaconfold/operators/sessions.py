@@ -11,56 +11,53 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beaconfold.functions.expressions import first_where, local_hour, nodash, seen
-from beaconfold.operators.events import dedupe_events, hot_keys, split_hot
+from beaconfold.functions.expressions import first_where, literal, local_hour, nodash
+from beaconfold.operators.events import dedupe_events, hot_buckets, split_hot
 from beaconfold.profiles import PartnerProfile
 from beaconfold.schemas import EVENT_TYPES, FRAUD_CATEGORIES, SESSION_DATA, SESSIONS
 from beaconfold.sources.events import ORDER
 
-# A session with more events than this is split over tasks before it is folded.
+# Sessions of fewer events than this are never worth splitting over tasks.
 HOT_SESSION_EVENTS = 1_000_000
 
 # Play time (ms) without sound beyond which an ad counts as muted, endpoints,
 # and the codes by which an impression is measurable under each standard.
 MUTED_AFTER = 1000
 DISPLAY, VIDEO = "display", "video"
-MRC_CODES = (1, 3)
-GROUPM_CODES = (2, 3)
+MRC_CODES = "1, 3"
+GROUPM_CODES = "2, 3"
 
 
 @dataclass(frozen=True)
 class Fact:
-    """An aggregate over a session's events, and the event columns it reads."""
+    """An aggregate over a session's events, as SQL text, and the event columns it reads."""
 
     inputs: tuple[str, ...]
-    build: Callable[[PartnerProfile], Column]
+    sql: Callable[[PartnerProfile], str]
+
+
+def _is(p: PartnerProfile, event: str) -> str:
+    return f"type = {literal(p.events[event])}"
 
 
 def _saw(event: str) -> Fact:
-    return Fact(("type",), lambda p: seen(p.events[event]))
+    return Fact(("type",), lambda p: f"max({_is(p, event)})")
 
 
-def _of(event: str, name: str, value: Callable[[Column], Column] = lambda c: c) -> Fact:
-    """First non-null value of a column among events of one type."""
-    return Fact(
-        ("type", name),
-        lambda p: first_where(value(F.col(name)), F.col("type") == p.events[event], F.col(ORDER)),
-    )
+def _of(event: str, column: str, value: str | None = None) -> Fact:
+    """First non-null value among events of one type."""
+    return Fact(("type", column), lambda p: first_where(value or column, _is(p, event), ORDER))
 
 
-def _in_view_on_load(p: PartnerProfile) -> Column:
+def _in_view_on_load(p: PartnerProfile) -> str:
     """A display ad loads with its impression, a video with its start; the event's own endpoint decides."""
-    loads = ((F.col("endpoint") == DISPLAY) & (F.col("type") == p.events["impression"])) | (
-        (F.col("endpoint") == VIDEO) & (F.col("type") == p.events["started"])
+    loads = (
+        f"((endpoint = '{DISPLAY}' AND {_is(p, 'impression')}) OR (endpoint = '{VIDEO}' AND {_is(p, 'started')}))"
     )
-    return first_where(F.col("in_view_50"), loads, F.col(ORDER))
-
-
-def _plays_muted(_: PartnerProfile) -> Column:
-    return (F.max("non_continuous_play_time") - F.max("audible_play_time")) > F.lit(MUTED_AFTER)
+    return first_where("in_view_50", loads, ORDER)
 
 
 # Columns carried over from the impression event.
@@ -88,17 +85,20 @@ CHECKPOINTS = {
 }
 
 FACTS: dict[str, Fact] = {
-    "utchour": Fact(("utchour",), lambda p: F.min_by("utchour", ORDER)),
+    "utchour": Fact(("utchour",), lambda p: f"min_by(utchour, {ORDER})"),
     **{f"saw_{event}": _saw(event) for event in EVENT_TYPES},
-    **{name: _of("impression", name) for name in IMPRESSION_COLUMNS},
+    **{column: _of("impression", column) for column in IMPRESSION_COLUMNS},
     "impression_full_screen": _of("impression", "full_screen"),
-    "mrc_measurable": _of("impression", "measurable", lambda c: c.isin(*MRC_CODES)),
-    "groupm_measurable": _of("impression", "measurable", lambda c: c.isin(*GROUPM_CODES)),
+    "mrc_measurable": _of("impression", "measurable", f"(measurable IN ({MRC_CODES}))"),
+    "groupm_measurable": _of("impression", "measurable", f"(measurable IN ({GROUPM_CODES}))"),
     "mrc_at_load": Fact(("type", "endpoint", "in_view_50"), _in_view_on_load),
     "groupm_at_load": _of("started", "in_view_100"),
     **{f"mrc_at_{suffix}": _of(event, "in_view_50") for suffix, event in CHECKPOINTS.items()},
     **{f"groupm_at_{suffix}": _of(event, "in_view_100") for suffix, event in CHECKPOINTS.items()},
-    "plays_muted": Fact(("non_continuous_play_time", "audible_play_time"), _plays_muted),
+    "plays_muted": Fact(
+        ("non_continuous_play_time", "audible_play_time"),
+        lambda p: f"max(non_continuous_play_time) - max(audible_play_time) > {MUTED_AFTER}",
+    ),
 }
 
 
@@ -106,9 +106,9 @@ def fold_events(
     events: DataFrame, profile: PartnerProfile, facts: Iterable[str] = tuple(FACTS), *, impressions_only: bool = True
 ) -> DataFrame:
     """Aggregate deduplicated events to one row of facts per session."""
+    wanted = {"_has_impression": FACTS["saw_impression"], **{name: FACTS[name] for name in facts}}
     folded = events.groupBy(*profile.session_keys).agg(
-        FACTS["saw_impression"].build(profile).alias("_has_impression"),
-        *[FACTS[f].build(profile).alias(f) for f in facts],
+        *[F.expr(f"{fact.sql(profile)} AS {name}") for name, fact in wanted.items()]
     )
     return (folded.where("_has_impression") if impressions_only else folded).drop("_has_impression")
 
@@ -125,21 +125,21 @@ def session_facts(
     """Session facts straight from canonical events of one day.
 
     Ordinary sessions are brought together by their key once; that one shuffle and sort
-    serve both the dedupe and the fold. The few sessions too large for one task (``hot``, found by
-    counting unless given) take another way with the same result: copies are dropped and
-    facts are pre-aggregated in the map tasks of two shuffles, so no task receives a whole
-    session. With no such session, adaptive execution drops that branch before it starts.
+    serve both the dedupe and the fold. Sessions too large for one task (see
+    :func:`hot_buckets`; pass ``hot`` to reuse a set found earlier) take another way with the
+    same result: copies are dropped and facts are pre-aggregated in the map tasks of two
+    shuffles, so no task receives a whole session. With no such session, adaptive execution
+    drops that branch before it starts.
     """
     facts = tuple(facts)
     wanted = {c for f in (*facts, "saw_impression") for c in FACTS[f].inputs}
     keys = list(profile.session_keys)
     # Session keys lead, so the sort for the dedupe also serves the fold.
     dedupe_keys = keys + [c for c in profile.dedupe_keys if c not in keys]
-    columns = dedupe_keys + [ORDER] + sorted(wanted - set(dedupe_keys))
-    events = events.select(columns)
+    events = events.select(dedupe_keys + [ORDER] + sorted(wanted - set(dedupe_keys)))
 
     if hot is None:
-        hot = hot_keys(events, keys, hot_session_events)
+        hot = hot_buckets(events, keys, hot_session_events)
     ordinary, oversized = split_hot(events, hot, keys)
 
     def fold(part: DataFrame) -> DataFrame:
@@ -148,117 +148,90 @@ def session_facts(
     return fold(ordinary.repartition(*keys)).unionByName(fold(oversized))
 
 
-def _c(name: str) -> Column:
-    return F.col(name)
-
-
-def _traffic() -> dict[str, Column]:
-    """Intermediate verdicts on a session, used by the rules below."""
-    mrc_seen = ((_c("endpoint") == DISPLAY) & _c("saw_in_view")) | ((_c("endpoint") == VIDEO) & _c("saw_in_view_50"))
-    return {
-        "clean": ~_c("suspicious") & ~_c("general_invalid"),
-        "mrc_viewable": _c("mrc_measurable") & mrc_seen,
-        "groupm_viewable": _c("groupm_measurable") & _c("saw_full_in_view"),
-    }
-
-
 @dataclass(frozen=True)
 class RuleGroup:
-    """Output columns that are computed from the same facts."""
+    """Output columns as SQL text, and the facts they are computed from."""
 
     facts: tuple[str, ...]
-    columns: Callable[[], Mapping[str, Column]]
+    columns: Mapping[str, str]
 
 
+# Verdicts on a session that the rules build on.
+CLEAN = "(NOT suspicious AND NOT general_invalid)"
+MRC_SEEN = f"((endpoint = '{DISPLAY}' AND saw_in_view) OR (endpoint = '{VIDEO}' AND saw_in_view_50))"
+MRC_UNSEEN = f"((endpoint = '{DISPLAY}' AND NOT saw_in_view) OR (endpoint = '{VIDEO}' AND NOT saw_in_view_50))"
+MRC_VIEWABLE = f"(mrc_measurable AND {MRC_SEEN})"
+GROUPM_VIEWABLE = "(groupm_measurable AND saw_full_in_view)"
+
 _CLEAN = ("suspicious", "general_invalid")
 _VIEWABLE = ("endpoint", "mrc_measurable", "groupm_measurable", "saw_in_view", "saw_in_view_50", "saw_full_in_view")
+_COMPLETIONS = {suffix: event for suffix, event in CHECKPOINTS.items() if suffix != "unload"}
+_IN_VIEW_AT = ("load", *CHECKPOINTS)
 
-
-def _dimension_rules() -> dict[str, Column]:
-    names = [c for c in IMPRESSION_COLUMNS if c in SESSION_DATA.names and c not in _CLEAN]
-    return {c: _c(c) for c in names}
-
-
-def _measurability_rules() -> dict[str, Column]:
-    return {"mrc_measurable": _c("mrc_measurable"), "groupm_measurable": _c("groupm_measurable")}
-
-
-def _viewability_rules() -> dict[str, Column]:
-    v = _traffic()
-    unseen = ((_c("endpoint") == DISPLAY) & ~_c("saw_in_view")) | ((_c("endpoint") == VIDEO) & ~_c("saw_in_view_50"))
-    full = v["clean"] & _c("groupm_measurable") & _c("saw_full_in_view_2s")
-    return {
-        "in_view": v["clean"] & v["mrc_viewable"],
-        "not_in_view": v["clean"] & unseen,
-        "in_view_5s": v["clean"] & _c("saw_in_view_5s"),
-        "in_view_15s": v["clean"] & _c("saw_in_view_15s"),
-        "groupm_in_view": v["clean"] & v["groupm_viewable"],
-        "groupm_not_in_view": v["clean"] & ~v["groupm_viewable"],
-        "full_ad_in_view": full,
-        "publicis_in_view": full,
-    }
-
-
-def _quartile_rules() -> dict[str, Column]:
-    clean = _traffic()["clean"]
-    rules = {}
-    for suffix in ("load", *CHECKPOINTS):
-        rules[f"in_view_{suffix}"] = clean & _c("mrc_measurable") & _c(f"mrc_at_{suffix}")
-        rules[f"groupm_in_view_{suffix}"] = clean & _c("groupm_measurable") & _c(f"groupm_at_{suffix}")
-    for suffix, event in CHECKPOINTS.items():
-        if suffix != "unload":
-            rules[f"completed_{suffix}"] = rules[f"groupm_completed_{suffix}"] = clean & _c(f"saw_{event}")
-    return rules
-
-
-def _playback_rules() -> dict[str, Column]:
-    clean = _traffic()["clean"]
-    rules = {
-        "never_started": clean & ~_c("saw_started"),
-        "muted": clean & _c("plays_muted"),
-        "full_screen": clean & _c("impression_full_screen"),
-    }
-    return rules | {f"groupm_{name}": rule for name, rule in rules.items()}
-
-
-def _traffic_rules() -> dict[str, Column]:
-    v = _traffic()
-    return {
-        "suspicious": _c("suspicious"),
-        "general_invalid": _c("general_invalid"),
-        "sivt_in_view": ~v["clean"] & v["mrc_viewable"],
-        "sivt_not_in_view": ~v["clean"] & ~v["mrc_viewable"],
-        "groupm_sivt_in_view": ~v["clean"] & v["groupm_viewable"],
-        "groupm_sivt_not_in_view": ~v["clean"] & ~v["groupm_viewable"],
-        "viewability_measured_or_fraud": _c("mrc_measurable") | _c("groupm_measurable") | ~v["clean"],
-    }
-
-
-def _fraud_rules() -> dict[str, Column]:
-    return {
-        column: _c("suspicious") & (_c("fraud_category") == category) for category, column in FRAUD_CATEGORIES.items()
-    }
-
+_PLAYBACK = {
+    "never_started": f"{CLEAN} AND NOT saw_started",
+    "muted": f"{CLEAN} AND plays_muted",
+    "full_screen": f"{CLEAN} AND impression_full_screen",
+}
 
 RULES = {
-    "dimensions": RuleGroup(tuple(c for c in IMPRESSION_COLUMNS if c in SESSION_DATA.names), _dimension_rules),
-    "measurability": RuleGroup(("mrc_measurable", "groupm_measurable"), _measurability_rules),
+    "dimensions": RuleGroup(
+        tuple(c for c in IMPRESSION_COLUMNS if c in SESSION_DATA.names),
+        {c: c for c in IMPRESSION_COLUMNS if c in SESSION_DATA.names},
+    ),
+    "measurability": RuleGroup(
+        ("mrc_measurable", "groupm_measurable"),
+        {"mrc_measurable": "mrc_measurable", "groupm_measurable": "groupm_measurable"},
+    ),
     "viewability": RuleGroup(
-        (*_CLEAN, *_VIEWABLE, "saw_in_view_5s", "saw_in_view_15s", "saw_full_in_view_2s"), _viewability_rules
+        (*_CLEAN, *_VIEWABLE, "saw_in_view_5s", "saw_in_view_15s", "saw_full_in_view_2s"),
+        {
+            "in_view": f"{CLEAN} AND {MRC_VIEWABLE}",
+            "not_in_view": f"{CLEAN} AND {MRC_UNSEEN}",
+            "in_view_5s": f"{CLEAN} AND saw_in_view_5s",
+            "in_view_15s": f"{CLEAN} AND saw_in_view_15s",
+            "groupm_in_view": f"{CLEAN} AND {GROUPM_VIEWABLE}",
+            "groupm_not_in_view": f"{CLEAN} AND NOT {GROUPM_VIEWABLE}",
+            "full_ad_in_view": f"{CLEAN} AND groupm_measurable AND saw_full_in_view_2s",
+            "publicis_in_view": f"{CLEAN} AND groupm_measurable AND saw_full_in_view_2s",
+        },
     ),
     "quartiles": RuleGroup(
         (
             *_CLEAN,
             "mrc_measurable",
             "groupm_measurable",
-            *(f"{standard}_at_{suffix}" for standard in ("mrc", "groupm") for suffix in ("load", *CHECKPOINTS)),
-            *(f"saw_{event}" for suffix, event in CHECKPOINTS.items() if suffix != "unload"),
+            *(f"{standard}_at_{suffix}" for standard in ("mrc", "groupm") for suffix in _IN_VIEW_AT),
+            *(f"saw_{event}" for event in _COMPLETIONS.values()),
         ),
-        _quartile_rules,
+        {f"in_view_{suffix}": f"{CLEAN} AND mrc_measurable AND mrc_at_{suffix}" for suffix in _IN_VIEW_AT}
+        | {
+            f"groupm_in_view_{suffix}": f"{CLEAN} AND groupm_measurable AND groupm_at_{suffix}"
+            for suffix in _IN_VIEW_AT
+        }
+        | {f"completed_{suffix}": f"{CLEAN} AND saw_{event}" for suffix, event in _COMPLETIONS.items()}
+        | {f"groupm_completed_{suffix}": f"{CLEAN} AND saw_{event}" for suffix, event in _COMPLETIONS.items()},
+    ),
+    "playback": RuleGroup(
+        (*_CLEAN, "saw_started", "plays_muted", "impression_full_screen"),
+        _PLAYBACK | {f"groupm_{name}": rule for name, rule in _PLAYBACK.items()},
+    ),
+    "traffic": RuleGroup(
+        (*_CLEAN, *_VIEWABLE),
+        {
+            "suspicious": "suspicious",
+            "general_invalid": "general_invalid",
+            "sivt_in_view": f"NOT {CLEAN} AND {MRC_VIEWABLE}",
+            "sivt_not_in_view": f"NOT {CLEAN} AND NOT {MRC_VIEWABLE}",
+            "groupm_sivt_in_view": f"NOT {CLEAN} AND {GROUPM_VIEWABLE}",
+            "groupm_sivt_not_in_view": f"NOT {CLEAN} AND NOT {GROUPM_VIEWABLE}",
+            "viewability_measured_or_fraud": f"mrc_measurable OR groupm_measurable OR NOT {CLEAN}",
+        },
+    ),
+    "fraud": RuleGroup(
+        ("suspicious", "fraud_category"),
+        {column: f"suspicious AND fraud_category = {literal(c)}" for c, column in FRAUD_CATEGORIES.items()},
     ),
-    "playback": RuleGroup((*_CLEAN, "saw_started", "plays_muted", "impression_full_screen"), _playback_rules),
-    "traffic": RuleGroup((*_CLEAN, *_VIEWABLE), _traffic_rules),
-    "fraud": RuleGroup(("suspicious", "fraud_category"), _fraud_rules),
 }
 
 # Flags this feed never raises. Every other column without a rule is NULL.
@@ -273,21 +246,22 @@ ALWAYS_FALSE = (
 
 def rule_columns(facts: DataFrame, group: str, *carry: str) -> DataFrame:
     """The output columns of one rule group, next to the named columns of ``facts``."""
-    rules = RULES[group].columns()
-    return facts.select(*carry, *[rule.alias(name) for name, rule in rules.items()])
+    return facts.selectExpr(*carry, *[f"{rule} AS {name}" for name, rule in RULES[group].columns.items()])
 
 
 def session_columns(facts: DataFrame, data_date: str, tz_offset: int) -> DataFrame:
     """The declared session layout from a full set of facts."""
-    rules = {name: rule for group in RULES.values() for name, rule in group.columns().items()}
-    rules |= {name: F.lit(False) for name in ALWAYS_FALSE}
+    rules = {name: rule for group in RULES.values() for name, rule in group.columns.items()}
+    rules |= {name: "FALSE" for name in ALWAYS_FALSE}
     rules |= {
-        "date": F.lit(nodash(data_date)),
-        "hour": local_hour(_c("utchour"), tz_offset),
-        "impression_id": _c("impression_id"),
-        "viewability_measurement_trusted": _c("mrc_measurable"),
+        "date": literal(nodash(data_date)),
+        "hour": local_hour("utchour", tz_offset),
+        "impression_id": "impression_id",
+        "viewability_measurement_trusted": "mrc_measurable",
     }
-    return facts.select([rules.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SESSIONS.fields])
+    return facts.selectExpr(
+        *[f"CAST({rules.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in SESSIONS.fields]
+    )
 
 
 def ad_sessions(
