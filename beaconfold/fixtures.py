@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconfold.operators.files import file_state_key, name_state_key
 from beaconfold.schemas import EVENT_TYPES, FRAUD_CATEGORIES
 
 TEST_DATE = "2024-01-15"
@@ -113,3 +114,163 @@ def raw_events(spark: SparkSession, sf_dir: str, timestamp: str = "s1") -> DataF
         F.when(k % 9 == 0, _pick((k % 8).cast("int"), list(FRAUD_CATEGORIES))).alias("fraudcategory"),
         entity.cast("bigint").alias("iasadventityid"),
     )
+
+
+# ---- reference tables -------------------------------------------------------------------
+
+CAMPAIGN_SOURCE = 10
+
+
+def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity -> internal campaign; every id ending in 3 is unknown."""
+    customer = table(spark, sf_dir, "customer").where("c_custkey % 10 <> 3")
+    return customer.select(F.col("c_custkey").alias("ID"), F.col("c_nationkey").cast("bigint").alias("CAMPAIGN_ID"))
+
+
+def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaign table: NULL, different and equal mappings; campaigns 80 to 99 are not on record yet."""
+    nation = F.col("c_nationkey")
+    mapped = F.when(F.col("p_partkey") % 4 == 1, nation + 1).when(F.col("p_partkey") % 4 != 0, nation)
+    return (
+        table(spark, sf_dir, "part")
+        .where(~F.col("p_partkey").between(80, 99))
+        .join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("p_partkey") + 1)
+        .select(
+            F.lit(CAMPAIGN_SOURCE).alias("MEASUREMENT_SOURCE_ID"),
+            F.col("p_partkey").alias("ID"),
+            F.col("p_name").alias("NAME"),
+            mapped.cast("bigint").alias("CAMPAIGN_ID"),
+        )
+    )
+
+
+# ---- name files -------------------------------------------------------------------------
+
+NAME_TABLE = "PARTNER_MEASURED_ADVERTISER"
+
+
+def _source_of(identifier: str):
+    """Measurement source of an id: a hundred ids each."""
+    return (F.floor(F.col(identifier) / 100) + 10).cast("int")
+
+
+def name_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every source's three name files: (source, key, row_no, id, name)."""
+    c = F.col("c_custkey")
+    files = F.array(
+        F.when(c % 2 == 0, F.struct(F.lit("20240101").alias("part"), F.lit("").alias("mark"))),
+        F.when(c % 3 == 0, F.struct(F.lit("20240102_p1").alias("part"), F.lit("-b").alias("mark"))),
+        # Some rows of this file are repeated.
+        F.when(c % 15 == 0, F.struct(F.lit("20240102_p1").alias("part"), F.lit("-b").alias("mark"))),
+        F.when(c % 5 == 0, F.struct(F.lit("20240102_p2").alias("part"), F.lit("-c").alias("mark"))),
+    )
+    rows = table(spark, sf_dir, "customer").select(
+        _source_of("c_custkey").alias("source"), "c_custkey", "c_name", F.inline(F.array_compact(files))
+    )
+    folder = F.concat(F.lit("inbound/source-"), F.col("source").cast("string"))
+    return rows.select(
+        "source",
+        F.concat(folder, F.lit("/advertiser_generic_"), "part", F.lit(".csv")).alias("key"),
+        F.col("c_custkey").alias("row_no"),
+        F.col("c_custkey").alias("id"),
+        F.concat("c_name", "mark").alias("name"),
+    )
+
+
+def name_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The name files as a listing: (stateKey, source, key, etag)."""
+    files = name_rows(spark, sf_dir).select("source", "key").distinct()
+    return files.select(
+        name_state_key(NAME_TABLE, F.col("source")).alias("stateKey"), "source", "key", F.md5("key").alias("etag")
+    )
+
+
+def name_feed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of each source's feed, one of five cases by source."""
+    source = F.col("source")
+    sources = table(spark, sf_dir, "customer").select(_source_of("c_custkey").alias("source")).distinct()
+
+    def path(part: str):
+        return F.concat(
+            F.lit("inbound/source-"), source.cast("string"), F.lit(f"/advertiser_generic_{part}.csv")
+        )
+
+    def entry(part: str):
+        return F.struct(F.lit(f"advertiser_generic_{part}.csv").alias("filename"), F.md5(path(part)).alias("etag"))
+
+    def as_json(stamp: str, *parts: str):
+        return F.to_json(
+            F.struct(F.lit(stamp).alias("timestamp"), F.array(*[entry(p) for p in parts]).alias("partitions"))
+        )
+
+    value = (
+        F.when(source % 5 == 1, F.concat(F.lit("20240102|"), F.md5(path("20240102_p1"))))
+        .when(source % 5 == 2, as_json("20240102", "20240102_p1", "20240102_p2"))
+        .when(source % 5 == 3, as_json("20240103", "20240103"))
+        .when(source % 5 == 4, F.concat(F.lit("20240101|"), F.md5(path("20240101"))))
+    )
+    return sources.where(source % 5 != 0).select(name_state_key(NAME_TABLE, source).alias("stateKey"), value.alias("value"))
+
+
+def name_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The name table to merge into."""
+    return table(spark, sf_dir, "supplier").select(
+        _source_of("s_suppkey").alias("MEASUREMENT_SOURCE_ID"),
+        F.col("s_suppkey").alias("ID"),
+        F.col("s_name").alias("NAME"),
+        F.lit(1).alias("CREATED_BY"),
+        F.lit("2023-01-01").cast("timestamp").alias("CREATED_ON"),
+        F.lit(None).cast("int").alias("MODIFIED_BY"),
+        F.lit(None).cast("timestamp").alias("LAST_MODIFIED"),
+    )
+
+
+# ---- files remembered one by one ----------------------------------------------------------
+
+FILES_TYPE = "discrepancies.snapchat"
+
+
+def count_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One count file per order date; its etag follows the orders of that date."""
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(day.alias("day"))
+        .agg(F.concat_ws("-", F.count("*"), F.sum("o_custkey")).alias("content"))
+        .select(
+            F.concat(F.lit("inbound/discrepency_counts_"), "day", F.lit(".csv")).alias("key"),
+            F.md5("content").alias("etag"),
+            "day",
+        )
+    )
+
+
+def count_file_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the days is processed, a third was processed with other content."""
+    day = F.col("day").cast("int")
+    return (
+        count_files(spark, sf_dir)
+        .where(day % 3 < 2)
+        .select(
+            file_state_key(FILES_TYPE, F.col("key")).alias("stateKey"),
+            F.when(day % 3 == 0, F.col("etag")).otherwise(F.md5("key")).alias("value"),
+        )
+    )
+
+
+# ---- hours ------------------------------------------------------------------------------
+
+
+def source_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UTC hours with raw events."""
+    return raw_events(spark, sf_dir).select("utcdate", "utchour").distinct()
+
+
+def local_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Local dates and hours with raw events: (estdate, esthour)."""
+    utc = F.to_timestamp_ntz(F.concat("utcdate", "utchour"), F.lit("yyyyMMddHH"))
+    return (
+        source_hours(spark, sf_dir)
+        .select((utc + F.make_dt_interval(secs=F.lit(TEST_OFFSET))).alias("local"))
+        .select(F.date_format("local", "yyyyMMdd").alias("estdate"), F.date_format("local", "HH").alias("esthour"))
+    )
