@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconfold.functions.expressions import literal
 from beaconfold.operators.files import file_state_key, name_state_key
 from beaconfold.schemas import EVENT_TYPES, FRAUD_CATEGORIES
 
@@ -36,83 +37,77 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(index, values):
-    """``values[index]`` as an expression, NULL beyond the end."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index)
+def _pick(index: str, values: list[str]) -> str:
+    """``values[index]``, NULL beyond the end."""
+    return f"get(array({', '.join(map(literal, values))}), CAST({index} AS INT))"
 
 
 def raw_events(spark: SparkSession, sf_dir: str, timestamp: str = "s1") -> DataFrame:
     """Raw events; ``timestamp`` is ``s0`` (session time) or ``s1`` (event time)."""
-    k = F.col("k")
     impressions = (
         table(spark, sf_dir, "orders")
         .where("o_orderkey % 11 <> 0")
-        .select(
-            F.col("o_orderkey").alias("k"),
-            F.col("o_custkey").alias("c"),
-            # Every seventh impression is delivered twice.
-            F.explode(F.when(F.col("o_orderkey") % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))),
+        # Every seventh impression is delivered twice.
+        .selectExpr(
+            "o_orderkey AS k",
+            "o_custkey AS c",
+            "explode(CASE WHEN o_orderkey % 7 = 0 THEN array(1, 2) ELSE array(1) END) AS copy",
         )
-        .select(
+        .selectExpr(
             "k",
             "c",
-            F.lit(0).cast("bigint").alias("event_seq"),
-            F.lit(0).alias("ln"),
-            F.lit(EVENT_TYPES["impression"]).alias("type"),
-            (k % 5 < 3).alias("inview50"),
-            (k % 5 == 0).alias("inview100"),
-            F.lit(None).cast("bigint").alias("noncontinuousplaytime"),
-            F.lit(None).cast("bigint").alias("audibleplaytime"),
+            "0L AS event_seq",
+            "0 AS ln",
+            f"{literal(EVENT_TYPES['impression'])} AS type",
+            "k % 5 < 3 AS inview50",
+            "k % 5 = 0 AS inview100",
+            "CAST(NULL AS BIGINT) AS noncontinuousplaytime",
+            "CAST(NULL AS BIGINT) AS audibleplaytime",
         )
     )
-    follow_ups = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("k"),
-        F.lit(None).cast("bigint").alias("c"),
-        (
-            F.col("l_linenumber").cast("bigint") * 1_000_000_000 + F.col("l_partkey") * 10_000 + F.col("l_suppkey")
-        ).alias("event_seq"),
-        F.col("l_linenumber").alias("ln"),
-        _pick((F.col("l_partkey") % 12).cast("int"), [EVENT_TYPES[e] for e in FOLLOW_UPS]).alias("type"),
-        (F.col("l_quantity") > 25).alias("inview50"),
-        (F.col("l_discount") > 0.05).alias("inview100"),
-        F.round(F.col("l_quantity") * 100).cast("bigint").alias("noncontinuousplaytime"),
-        F.round(F.col("l_tax") * 20000).cast("bigint").alias("audibleplaytime"),
+    follow_ups = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS k",
+        "CAST(NULL AS BIGINT) AS c",
+        "l_linenumber * 1000000000L + l_partkey * 10000 + l_suppkey AS event_seq",
+        "l_linenumber AS ln",
+        f"{_pick('l_partkey % 12', [EVENT_TYPES[e] for e in FOLLOW_UPS])} AS type",
+        "l_quantity > 25 AS inview50",
+        "l_discount > 0.05D AS inview100",
+        "CAST(round(l_quantity * 100) AS BIGINT) AS noncontinuousplaytime",
+        "CAST(round(l_tax * 20000) AS BIGINT) AS audibleplaytime",
     )
-    s0 = k * 1741 % 259200
     events = (
         impressions.unionByName(follow_ups)
-        .withColumn("s0", s0)
-        .withColumn("s1", F.col("s0") + F.col("ln") * 600)
-        .withColumn("_day", F.floor(F.col("s1") / 86400).cast("int"))
-    )
-    entity = F.when(F.col("c") % 6 == 0, 0).otherwise(
-        F.col("c") % 100 + 1 + F.when((F.col("c") % 20 == 7) & (k % 2 == 0), 1).otherwise(0)
+        .selectExpr("*", "k * 1741 % 259200 AS s0")
+        .selectExpr("*", "s0 + ln * 600 AS s1")
+        .selectExpr("*", "s1 DIV 86400 AS day", "s1 % 86400 DIV 3600 AS hour")
     )
-    return events.select(
-        k.cast("string").alias("impressionid"),
+    entity = "CASE WHEN c % 6 = 0 THEN 0 ELSE c % 100 + 1 + CASE WHEN c % 20 = 7 AND k % 2 = 0 THEN 1 ELSE 0 END END"
+    return events.selectExpr(
+        "CAST(k AS STRING) AS impressionid",
         "type",
-        F.col(timestamp).alias("timestamp"),
+        f"{timestamp} AS timestamp",
         "event_seq",
-        _pick(F.col("_day"), ["20240114", "20240115", "20240116", "20240117"]).alias("utcdate"),
-        F.lpad(F.floor(F.col("s1") % 86400 / 3600).cast("string"), 2, "0").alias("utchour"),
-        F.concat(F.lit("site-"), (k % 20).cast("string")).alias("site"),
-        (k % 3).cast("int").alias("sourceid"),
-        (F.col("c") % 25).alias("advertiserid"),
-        (F.col("c") % 100).alias("campaignid"),
-        (F.col("c") % 10).alias("placementid"),
-        (k % 4).alias("creativeid"),
-        (k % 2).cast("int").alias("mediatypeid"),
-        F.when(k % 3 == 0, "display").otherwise("video").alias("endpoint"),
-        (k % 4).cast("int").alias("measurable"),
+        f"{_pick('day', ['20240114', '20240115', '20240116', '20240117'])} AS utcdate",
+        f"{_pick('hour', [f'{h:02d}' for h in range(24)])} AS utchour",
+        "concat('site-', k % 20) AS site",
+        "CAST(k % 3 AS INT) AS sourceid",
+        "c % 25 AS advertiserid",
+        "c % 100 AS campaignid",
+        "c % 10 AS placementid",
+        "k % 4 AS creativeid",
+        "CAST(k % 2 AS INT) AS mediatypeid",
+        "CASE WHEN k % 3 = 0 THEN 'display' ELSE 'video' END AS endpoint",
+        "CAST(k % 4 AS INT) AS measurable",
         "inview50",
         "inview100",
         "noncontinuousplaytime",
         "audibleplaytime",
-        F.when(k % 17 != 0, k % 13 == 0).alias("fullscreen"),
-        (k % 9 == 0).alias("suspicious"),
-        (k % 19 == 0).alias("givt"),
-        F.when(k % 9 == 0, _pick((k % 8).cast("int"), list(FRAUD_CATEGORIES))).alias("fraudcategory"),
-        entity.cast("bigint").alias("iasadventityid"),
+        "CASE WHEN k % 17 <> 0 THEN k % 13 = 0 END AS fullscreen",
+        "k % 9 = 0 AS suspicious",
+        "k % 19 = 0 AS givt",
+        f"CASE WHEN k % 9 = 0 THEN {_pick('k % 8', list(FRAUD_CATEGORIES))} END AS fraudcategory",
+        f"CAST({entity} AS BIGINT) AS iasadventityid",
     )
 
 
