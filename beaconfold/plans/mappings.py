@@ -96,7 +96,7 @@ def update_names(
         return False
 
     # The glob keeps older dates from being read; the join then picks the exact files.
-    rows = read_name_rows(spark, files_dir, name_glob=f"{name_prefix}*_{first['timestamp']}*")
+    rows = read_name_rows(spark, files_dir, name_glob=f"{name_prefix}*{first['timestamp']}*")
     target = read_snapshot(spark, names_root)
     incoming = incoming_names(rows, selected)
     write_snapshot(merge_names(target, incoming, source_id, now), names_root, version)

@@ -51,13 +51,11 @@ def day_events(
 
 def read_sessions(spark: SparkSession, path: str, data_date: str, file_format: str = "parquet") -> DataFrame:
     """Stored sessions of one day from the directory layout ``date=…/hour=…``."""
-    return spark.read.format(file_format).schema(SESSIONS).load(path).where(F.col("date") == nodash(data_date))
+    stored = spark.read.format(file_format).schema(SESSIONS).load(path)
+    return stored.where(F.col("date") == nodash(data_date)).select(*SESSIONS.names)
 
 
 def read_session_table(spark: SparkSession, table: str, data_date: str) -> DataFrame:
     """Stored sessions of one day from the catalog, where the partition keys are ``estdate``/``esthour``."""
-    return (
-        spark.table(table)
-        .where(F.col("estdate") == nodash(data_date))
-        .withColumnsRenamed({"estdate": "date", "esthour": "hour"})
-    )
+    stored = spark.table(table).where(F.col("estdate") == nodash(data_date))
+    return stored.withColumnsRenamed({"estdate": "date", "esthour": "hour"}).select(*SESSIONS.names)

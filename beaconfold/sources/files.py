@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconfold.functions.expressions import nodash
 from beaconfold.schemas import CAMPAIGN_PAIRS
 
 
+def _file_key() -> Column:
+    """The file a row comes from, spelled the same by every reader: its URI with escapes undone."""
+    uri = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(uri)
+
+
 def list_files(spark: SparkSession, directory: str, name_glob: str = "*") -> DataFrame:
     """Files under a directory as (key, etag), without reading them.
 
@@ -19,7 +25,7 @@ def list_files(spark: SparkSession, directory: str, name_glob: str = "*") -> Dat
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(directory)
     version = F.concat_ws("-", "length", F.unix_micros("modificationTime"))
-    return listing.select(F.col("path").alias("key"), F.md5(version).alias("etag"))
+    return listing.select(_file_key().alias("key"), F.md5(version).alias("etag"))
 
 
 def list_partition_hours(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +62,7 @@ def read_name_rows(
     )
     not_a_number = F.raise_error(F.concat(F.lit("not an id: "), F.coalesce("id", F.lit("nothing"))))
     return lines.select(
-        F.col("_metadata.file_path").alias("key"),
+        _file_key().alias("key"),
         F.struct(
             F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
         ).alias("row_no"),
