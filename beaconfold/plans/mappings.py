@@ -26,6 +26,9 @@ from beaconfold.sources.events import day_events
 from beaconfold.sources.files import list_files, read_name_rows, read_pairs
 from beaconfold.sources.state import read_snapshot, read_state, save_state, write_snapshot
 
+# Up to this many files, their listing (a few hundred bytes each) is sent to every task.
+BROADCAST_FILES = 10_000
+
 # The name feeds of a partner, reference table -> file name prefix.
 NAME_FEEDS = {
     "PARTNER_MEASURED_ADVERTISER": "advertiser_generic_",
@@ -36,11 +39,16 @@ NAME_FEEDS = {
 
 
 def extract_campaigns(
-    raw: DataFrame, profile: PartnerProfile, data_date: str, pairs_root: str, tz_offset: int | None = None
+    raw: DataFrame,
+    profile: PartnerProfile,
+    data_date: str,
+    pairs_root: str,
+    tz_offset: int | None = None,
+    hours: int = 24,
 ) -> None:
     """Write the campaign pairs met on one data day."""
     tz_offset = utc_offset_seconds(data_date) if tz_offset is None else tz_offset
-    write_pairs(extract_pairs(day_events(raw, profile, data_date, tz_offset)), pairs_root, data_date)
+    write_pairs(extract_pairs(day_events(raw, profile, data_date, tz_offset, hours)), pairs_root, data_date)
 
 
 def update_campaigns(
@@ -97,6 +105,9 @@ def update_names(
 
     # The glob keeps older dates from being read; the join then picks the exact files.
     rows = read_name_rows(spark, files_dir, name_glob=f"{name_prefix}*{first['timestamp']}*")
+    # Rows of a file share its key: a shuffle by key would put a large file into one task.
+    if selected.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
+        selected = F.broadcast(selected)
     target = read_snapshot(spark, names_root)
     incoming = incoming_names(rows, selected)
     write_snapshot(merge_names(target, incoming, source_id, now), names_root, version)

@@ -194,10 +194,9 @@ def name_mapping_latest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def name_mapping_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.name_rows(spark, sf_dir)
-    return nm.incoming_names(rows, name_mapping_latest_files(spark, sf_dir), "stateKey").join(
-        fx.name_listing(spark, sf_dir).select("stateKey", "source").distinct(), "stateKey"
-    ).select("source", "id", "name")
+    source = F.split_part("stateKey", F.lit("."), F.lit(3)).cast("int")
+    selected = name_mapping_latest_files(spark, sf_dir).withColumn("source", source)
+    return nm.incoming_names(fx.name_rows(spark, sf_dir).drop("source"), selected, "source")
 
 
 @_query

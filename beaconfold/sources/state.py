@@ -6,46 +6,39 @@ run that dies half-way leaves the last complete version in force and can be repe
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-STATE_LOG = T.StructType.fromJson(
-    {
-        "type": "struct",
-        "fields": [
-            {"name": n, "type": t, "nullable": True, "metadata": {}}
-            for n, t in (("stateKey", "string"), ("value", "string"), ("version", "long"))
-        ],
-    }
-)
+STATE_LOG = "stateKey string, value string, version bigint"
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """Latest value per state key: (stateKey, value). A directory yet to be written is empty state."""
-    log = spark.read.schema(STATE_LOG).option("ignoreMissingFiles", True)
-    return log.parquet(path).groupBy("stateKey").agg(F.max_by("value", "version").alias("value"))
-
-
-def init_state(spark: SparkSession, path: str) -> None:
-    """Create an empty state log unless there is one."""
-    spark.createDataFrame([], STATE_LOG).write.mode("append").parquet(path)
+    """Latest value per state key: (stateKey, value). A log yet to be written is empty state."""
+    try:
+        log = spark.read.schema(STATE_LOG).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        empty = F.lit(None).cast("string")
+        return spark.range(0).select(empty.alias("stateKey"), empty.alias("value"))
+    return log.groupBy("stateKey").agg(F.max_by("value", "version").alias("value"))
 
 
 def save_state(records: DataFrame, path: str, version: int) -> None:
     """Append state records under a version, larger than those before (a run time, say)."""
-    records.select("stateKey", "value", F.lit(version).cast("bigint").alias("version")).coalesce(1).write.mode(
-        "append"
-    ).parquet(path)
+    versioned = records.select("stateKey", "value", F.lit(version).cast("bigint").alias("version"))
+    versioned.write.mode("append").parquet(path)
 
 
-def write_snapshot(table: DataFrame, root: str, snapshot: int) -> None:
-    """Write the next version of a reference table next to the earlier ones."""
-    table.write.mode("overwrite").parquet(f"{root}/snapshot={snapshot}")
+def write_snapshot(table: DataFrame, root: str, version: int) -> None:
+    """Write a new version of a reference table next to the earlier ones."""
+    table.write.mode("errorifexists").parquet(f"{root}/snapshot={version}")
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of a reference table; only its files are read."""
-    every = spark.read.parquet(root)
-    newest = every.agg(F.max("snapshot")).first()[0]
-    return every.where(F.col("snapshot") == newest).drop("snapshot")
+    """The newest version of a reference table, found by file names alone."""
+    version = F.regexp_extract("path", r"/snapshot=(\d+)/", 1).cast("bigint")
+    files = spark.read.format("binaryFile").load(f"{root}/snapshot=*")
+    newest = files.agg(F.max(version)).first()[0]
+    return spark.read.parquet(f"{root}/snapshot={newest}")

@@ -9,7 +9,7 @@ from beaconfold.operators import names as nm
 from beaconfold.plans.mappings import notify_new_files, update_names
 from beaconfold.schemas import NAME_TABLE
 from beaconfold.sources.files import list_files, read_name_rows
-from beaconfold.sources.state import init_state, read_snapshot, read_state, write_snapshot
+from beaconfold.sources.state import read_snapshot, read_state, write_snapshot
 
 STATE = "stateKey string, value string"
 LISTING = "stateKey string, key string, etag string"
@@ -159,7 +159,6 @@ def feed(spark, tmp_path):
     old = datetime(2023, 1, 1)
     table = spark.createDataFrame([(10, 2, "two", 7, old, None, None)], NAME_TABLE)
     write_snapshot(table, str(tmp_path / "names"), 1)
-    init_state(spark, str(tmp_path / "state"))
 
     def run(version):
         return update_names(
@@ -199,7 +198,6 @@ def test_new_file_run(spark, tmp_path):
     inbound.mkdir()
     (inbound / "discrepency_counts_1.csv").write_text("a")
     (inbound / "other.csv").write_text("a")
-    init_state(spark, str(tmp_path / "state"))
 
     def run(version):
         return notify_new_files(

@@ -193,3 +193,37 @@ def test_calendar_mode_reads_the_extra_hour(spark, tmp_path):
         run_day(spark, PROFILE, warehouse, "2024-11-03", day_mode=mode)
         counts[mode] = read_sessions(spark, f"{root}/s/snapchat", "2024-11-03").count()
     assert counts == {"fixed24": 192, "calendar": 200}
+
+
+def test_command_line(spark, raw, tmp_path):
+    """Every job from its arguments; the profiles in use have no order column of their own."""
+    from beaconfold.main import _parser, execute
+
+    raw.drop("event_seq").write.partitionBy("utcdate", "utchour").parquet(f"{tmp_path}/raw/snapchat")
+    fx.entities(spark, SF_DIR).createOrReplaceTempView("adv_entity")
+    write_snapshot(fx.campaigns(spark, SF_DIR), f"{tmp_path}/campaigns", 1)
+    inbound = tmp_path / "in"
+    inbound.mkdir()
+    (inbound / "advertiser_generic_20240101.csv").write_text("id,name\n1,one\n")
+    write_snapshot(fx.name_target(spark, SF_DIR), f"{tmp_path}/names", 1)
+
+    def run(line):
+        execute(spark, _parser().parse_args(line.format(t=tmp_path).split()))
+
+    day = "--data-date 2024-01-15 --partners snapchat"
+    run(f"day {day} --raw-root {{t}}/raw --session-root {{t}}/s --mart-root {{t}}/m --notices-root {{t}}/n")
+    run(f"sessions {day} --raw-root {{t}}/raw --session-root {{t}}/s2")
+    run(f"mart {day} --session-root {{t}}/s2 --mart-root {{t}}/m2 --site-mart")
+    assert rows(read_mart(spark, f"{tmp_path}/m/snapchat", DATE)) == rows(read_mart(spark, f"{tmp_path}/m2/snapchat", DATE))
+    assert spark.read.json(f"{tmp_path}/n/snapchat/date=2024-01-15").count() == 1
+    run(f"campaign-pairs {day} --raw-root {{t}}/raw --pairs-root {{t}}/p")
+    run(
+        f"campaigns {day} --pairs-root {{t}}/p --entity-table adv_entity --campaigns-root {{t}}/campaigns"
+        " --exceptions-root {t}/x"
+    )
+    assert read_snapshot(spark, f"{tmp_path}/campaigns").where("NAME = 'DATA NOT RECEIVED'").count() > 0
+    names = "names --table PARTNER_MEASURED_ADVERTISER --source-id 10 --files-dir {t}/in --names-root {t}/names"
+    run(names + " --state-path {t}/state")
+    assert read_snapshot(spark, f"{tmp_path}/names").where("NAME = 'one'").count() == 1
+    run("new-files --files-dir {t}/in --name-prefix adv --files-type T --state-path {t}/state --notices-root {t}/f")
+    assert spark.read.json(f"{tmp_path}/f/*").count() == 1
