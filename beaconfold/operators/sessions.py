@@ -8,7 +8,7 @@ rules, and is neither true nor false in the counts of the mart.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -36,28 +36,33 @@ class Fact:
     """An aggregate over a session's events, as SQL text, and the event columns it reads."""
 
     inputs: tuple[str, ...]
-    sql: Callable[[PartnerProfile], str]
+    sql: str
 
 
-def _is(p: PartnerProfile, event: str) -> str:
-    return f"type = {literal(p.events[event])}"
+# Event types as bits: text is compared once per event, and one aggregate holds all types seen.
+EVENT_BITS = {event: 1 << n for n, event in enumerate(EVENT_TYPES)}
+
+
+def _event_bit(p: PartnerProfile) -> str:
+    whens = " ".join(f"WHEN {literal(p.events[event])} THEN {bit}" for event, bit in EVENT_BITS.items())
+    return f"CASE type {whens} ELSE 0 END AS _event"
+
+
+def _is(event: str) -> str:
+    return f"_event = {EVENT_BITS[event]}"
 
 
 def _saw(event: str) -> Fact:
-    return Fact(("type",), lambda p: f"max({_is(p, event)})")
+    return Fact(("type",), f"(bit_or(_event) & {EVENT_BITS[event]}) <> 0")
 
 
 def _of(event: str, column: str, value: str | None = None) -> Fact:
     """First non-null value among events of one type."""
-    return Fact(("type", column), lambda p: first_where(value or column, _is(p, event), ORDER))
+    return Fact(("type", column), first_where(value or column, _is(event), ORDER))
 
 
-def _in_view_on_load(p: PartnerProfile) -> str:
-    """A display ad loads with its impression, a video with its start; the event's own endpoint decides."""
-    loads = (
-        f"((endpoint = '{DISPLAY}' AND {_is(p, 'impression')}) OR (endpoint = '{VIDEO}' AND {_is(p, 'started')}))"
-    )
-    return first_where("in_view_50", loads, ORDER)
+# A display ad loads with its impression, a video with its start; the event's own endpoint decides.
+_LOADS = f"((endpoint = '{DISPLAY}' AND {_is('impression')}) OR (endpoint = '{VIDEO}' AND {_is('started')}))"
 
 
 # Columns carried over from the impression event.
@@ -85,19 +90,19 @@ CHECKPOINTS = {
 }
 
 FACTS: dict[str, Fact] = {
-    "utchour": Fact(("utchour",), lambda p: f"min_by(utchour, {ORDER})"),
+    "utchour": Fact(("utchour",), f"min_by(utchour, {ORDER})"),
     **{f"saw_{event}": _saw(event) for event in EVENT_TYPES},
     **{column: _of("impression", column) for column in IMPRESSION_COLUMNS},
     "impression_full_screen": _of("impression", "full_screen"),
     "mrc_measurable": _of("impression", "measurable", f"(measurable IN ({MRC_CODES}))"),
     "groupm_measurable": _of("impression", "measurable", f"(measurable IN ({GROUPM_CODES}))"),
-    "mrc_at_load": Fact(("type", "endpoint", "in_view_50"), _in_view_on_load),
+    "mrc_at_load": Fact(("type", "endpoint", "in_view_50"), first_where("in_view_50", _LOADS, ORDER)),
     "groupm_at_load": _of("started", "in_view_100"),
     **{f"mrc_at_{suffix}": _of(event, "in_view_50") for suffix, event in CHECKPOINTS.items()},
     **{f"groupm_at_{suffix}": _of(event, "in_view_100") for suffix, event in CHECKPOINTS.items()},
     "plays_muted": Fact(
         ("non_continuous_play_time", "audible_play_time"),
-        lambda p: f"max(non_continuous_play_time) - max(audible_play_time) > {MUTED_AFTER}",
+        f"max(non_continuous_play_time) - max(audible_play_time) > {MUTED_AFTER}",
     ),
 }
 
@@ -107,8 +112,10 @@ def fold_events(
 ) -> DataFrame:
     """Aggregate deduplicated events to one row of facts per session."""
     wanted = {"_has_impression": FACTS["saw_impression"], **{name: FACTS[name] for name in facts}}
-    folded = events.groupBy(*profile.session_keys).agg(
-        *[F.expr(f"{fact.sql(profile)} AS {name}") for name, fact in wanted.items()]
+    folded = (
+        events.selectExpr("*", _event_bit(profile))
+        .groupBy(*profile.session_keys)
+        .agg(*[F.expr(f"{fact.sql} AS {name}") for name, fact in wanted.items()])
     )
     return (folded.where("_has_impression") if impressions_only else folded).drop("_has_impression")
 
