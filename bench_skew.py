@@ -1,7 +1,7 @@
 """Session plans compared, without and with one session holding a third of all events.
 
 ``python bench_skew.py [replicas]`` enlarges the test events (``BENCH_SF_DIR``) that many times under a
-new folder and prints seconds per plan. Each plan yields the same sessions.
+new folder and prints seconds per plan. All plans but the last, which keeps any copy, yield the same sessions.
 """
 
 from __future__ import annotations
