@@ -22,6 +22,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from beaconfold.llm.common import row_key, staged, table
@@ -196,7 +197,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = 20_00
     own = F.row_number().over(W.Window.partitionBy("length", "_bucket").orderBy("row", "piece"))
     ranked = bucketed.withColumn("_own", own).join(firsts, ["length", "_bucket"]).withColumn("rank", F.col("_first") + F.col("_own") - 1)
     wanted = ranked.select(*pieces.columns, "rank")
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    added = [T.StructField(n, T.LongType()) for n in ("sequence_id", "offset")]
+    schema = T.StructType([*pieces.schema.fields, *added])
     return wanted.mapInArrow(_place(_places(plan_packing(histogram, capacity))), schema)
 
 

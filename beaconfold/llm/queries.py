@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from beaconfold.llm import best_fit_packing, chat_formatting, exact_dedup, line_cleaning, prob_minhash, source_mixing
+from beaconfold.llm import best_fit_packing, chat_formatting, exact_dedup, line_cleaning, page_text, prob_minhash, source_mixing, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,7 +15,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     found = [
         chat_formatting.op1_chat_formatting,
+        url_filter.op2_url_filter,
         source_mixing.op4_source_mixing,
+        page_text.op5_page_text,
         line_cleaning.op6_line_cleaning,
         exact_dedup.op8_exact_dedup,
         best_fit_packing.op9_best_fit_packing,
