@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from beaconfold.llm import best_fit_packing, chat_formatting, exact_dedup, line_cleaning, page_text, prob_minhash, source_mixing, url_filter
+from beaconfold.llm import best_fit_packing, chat_formatting, exact_dedup, huffman_ids, line_cleaning, page_text, prob_minhash, source_mixing, suffix_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,9 +16,11 @@ def queries() -> dict[str, Query]:
     found = [
         chat_formatting.op1_chat_formatting,
         url_filter.op2_url_filter,
+        suffix_dedup.op3_suffix_dedup,
         source_mixing.op4_source_mixing,
         page_text.op5_page_text,
         line_cleaning.op6_line_cleaning,
+        huffman_ids.op7_huffman_ids,
         exact_dedup.op8_exact_dedup,
         best_fit_packing.op9_best_fit_packing,
         prob_minhash.op10_prob_minhash,
