@@ -15,9 +15,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct pieces a worker remembers before it starts again.
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 1_000_000
+#: Pieces encoded in one call: the library's own records of a call are far larger than its ids.
+LEARN_PIECES = 8192
 #: Bytes of text that are split and looked up at a time.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -99,8 +101,9 @@ class Encoder:
         words = coded.dictionary.to_pylist()
         if len(self.place) > CACHE_PIECES:
             self.clear()
-        if new := [w for w in words if w not in self.place]:
-            self._learn(new)
+        new = [w for w in words if w not in self.place]
+        for k in range(0, len(new), LEARN_PIECES):
+            self._learn(new[k : k + LEARN_PIECES])
         places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
         ends = self.ends[places]
         begins = np.where(places > 0, self.ends[places - 1], 0)
