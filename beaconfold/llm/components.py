@@ -1,4 +1,4 @@
-"""Connected components of a link table, by alternating large-star and small-star steps."""
+"""Connected components of a link table, by least neighbours and pointer jumping."""
 
 from __future__ import annotations
 
@@ -8,34 +8,27 @@ from pyspark.sql import functions as F
 from beaconfold.llm.common import discard, staged
 
 
-def _star(pairs: DataFrame) -> DataFrame:
-    """Each node's neighbours with the least of them and itself; the least is found by partial aggregation."""
-    least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
-    return pairs.join(least, "u")
-
-
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b); root is the least node of its component.
 
-    Ends when a round changes nothing; the number of rounds grows with the logarithm of the longest chain. Every round
-    is written to the shared folder. Loops (a = b), repeated links and an empty table are fine.
+    In each round a node takes the least root of its neighbours, and then that root's own root, so the number of rounds
+    grows with the logarithm of the longest chain; it ends when a round changes nothing. Minima are found by
+    partial aggregation, so a node with any number of neighbours is no burden. Every round is written to the shared
+    folder. Loops (a = b), repeated links and an empty table are fine.
     """
     spark = links.sparkSession
-    pairs = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    state, path = staged(pairs, "links")
-    mark = None
+    both = links.where("a <> b").select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+    both, both_at = staged(both.select("e.a", "e.b").distinct(), "links")
+    state, path = staged(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"), "roots")
     while True:
-        both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).where("u <> v").distinct()
-        own = large.select("u", "v")
-        small = _star(own)
-        small = small.select(F.col("v").alias("u"), F.col("least").alias("v")).unionByName(small.select("u", F.col("least").alias("v")))
-        new, new_path = staged(small.where("u <> v").distinct(), "links")
-        found = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        near = both.join(state, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("near"))
+        lower = state.join(near, F.col("node") == F.col("a")).select("node", "root", F.least("root", "near").alias("near"))
+        jump = state.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        jumped = lower.join(jump, F.col("near") == F.col("_node")).select("node", F.col("_root").alias("root"), (F.col("_root") < F.col("root")).alias("moved"))
+        new, new_path = staged(jumped, "roots")
+        moved = new.where("moved").isEmpty()
         discard(spark, path)
-        state, path = new, new_path
-        if found == mark:
-            break
-        mark = found
-    nodes = state.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return nodes.unionByName(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        state, path = new.drop("moved"), new_path
+        if moved:
+            discard(spark, both_at)
+            return state

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -133,19 +134,33 @@ def _verify(threshold: float):
         for batch in batches:
             left, right = batch.column("sa").to_pylist(), batch.column("sb").to_pylist()
             good = [similarity(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")) >= threshold for x, y in zip(left, right, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield batch.select(["ra", "rb"]).filter(pa.array(good, pa.bool_()))
 
     return verify
 
 
 def _candidates(banded: DataFrame, seed: int) -> DataFrame:
-    """Pairs (a, b) of members of other classes with two drawn members of each band; ``banded``: band, node, root."""
-    drawn = F.xxhash64(F.lit(seed), "band", "node")
+    """Pairs (a, b, ra, rb) of members of other classes with two drawn members of each band; ``banded``: band, node, root.
+
+    The draw is the least and greatest node (a hash itself), later of a hash of it. So bands of one class mostly draw the
+    same two, and the first links already lead to the least node, which is the class's root.
+    """
+    drawn = F.xxhash64(F.lit(seed), "node") if seed else F.lit(0).cast("bigint")
     member = F.struct(drawn.alias("h"), F.col("node"), F.col("root"))
-    hubs = banded.groupBy("band").agg(F.min(member).alias("first"), F.max(member).alias("last"), (F.min("root") < F.max("root")).alias("open")).where("open")
+    hubs = banded.groupBy("band").agg(F.min(member).alias("first"), F.max(member).alias("last"))
     hubs = hubs.select("band", F.array("first", "last").alias("hubs"))
     pairs = banded.join(hubs, "band").select("node", "root", F.explode("hubs").alias("hub")).where("root <> hub.root")
-    return pairs.select(F.greatest("node", "hub.node").alias("a"), F.least("node", "hub.node").alias("b")).distinct()
+    own, other = F.struct(F.col("node").alias("n"), F.col("root").alias("r")), F.struct(F.col("hub.node").alias("n"), F.col("hub.root").alias("r"))
+    pairs = pairs.select(F.greatest(own, other).alias("x"), F.least(own, other).alias("y"))
+    return pairs.select(F.col("x.n").alias("a"), F.col("y.n").alias("b"), F.col("x.r").alias("ra"), F.col("y.r").alias("rb")).distinct()
+
+
+def _still_open(banded: DataFrame, roots: DataFrame) -> DataFrame:
+    """``banded`` with new roots, and of it only the bands that still hold several classes."""
+    named = roots.withColumnsRenamed({"node": "_node", "root": "_root"})
+    rooted = banded.join(named, F.col("root") == F.col("_node"), "left").select("band", "node", F.coalesce("_root", "root").alias("root"))
+    several = rooted.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("band")
+    return rooted.join(several, "band", "left_semi")
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -160,23 +175,26 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     payload, _ = staged(
         signed.select("node", "shingles").join(banded.select("node").distinct(), "node").groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles"
     )
-    links, found = None, None
-    rooted = banded.withColumn("root", F.col("node"))
-    seed = 0
-    while True:
-        pairs = _candidates(rooted, seed)
+    found = None
+    opened = banded.withColumn("root", F.col("node"))
+    for seed in count():
+        pairs = _candidates(opened, seed)
         with_a = pairs.join(payload.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-        with_both = with_a.join(payload.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
-        new, path = staged(with_both.mapInArrow(_verify(threshold), "a binary, b binary"), "verified")
-        if new.isEmpty():
-            discard(spark, path)
+        with_both = with_a.join(payload.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").select("ra", "rb", "sa", "sb")
+        links, links_at = staged(with_both.mapInArrow(_verify(threshold), "ra binary, rb binary"), "verified")
+        if links.isEmpty():
+            discard(spark, links_at)
             break
-        links = new if links is None else links.unionByName(new)
-        found, _ = staged(components(links), "components")
-        # Roots stand for what is linked so far, so later rounds only add to them.
-        links = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        rooted = banded.join(found, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-        seed += 1
+        # Classes so far are the nodes now: what is linked stays linked, and the graph gets smaller.
+        roots, roots_at = staged(components(links.toDF("a", "b")), "components")
+        discard(spark, links_at)
+        if found is None:
+            found = roots
+        else:
+            step = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+            moved = found.join(step, F.col("root") == F.col("_node"), "left").select("node", F.coalesce("_root", "root").alias("root"))
+            found, _ = staged(moved.unionByName(roots.join(found.select("node"), "node", "left_anti")), "classes")
+        opened, _ = staged(_still_open(opened, roots), "open")
     classed = signed.select("doc_id", "row", "node")
     if found is not None:
         classed = classed.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
