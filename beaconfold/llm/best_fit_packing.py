@@ -13,6 +13,7 @@ gives an empty one.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -89,26 +90,38 @@ class Complements:
         self.no_triple.add(total)
         return None
 
-    def fill(self, gap: int) -> tuple[int, ...] | None:
-        if self.counts[gap] > 0:
-            return (gap,)
-        return self.pair(gap) or self.triple(gap)
+    def fill(self, gap: int, pieces: int) -> tuple[int, ...] | None:
+        """``pieces`` lengths that sum to the gap."""
+        if pieces == 1:
+            return (gap,) if self.counts[gap] > 0 else None
+        return self.pair(gap) if pieces == 2 else self.triple(gap)
 
 
-def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[tuple[int, int]]]]:
-    """(how many sequences, [(length, how many of it), ...]) for every kind of sequence."""
+Kinds = list[tuple[int, list[tuple[int, int]]]]
+
+
+def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> Kinds:
+    """(how many sequences, [(length, how many of it), ...]) for every kind of sequence.
+
+    Exact fills use up the short pieces that long ones without a complement would need, so plans with complements
+    of up to one, two and three pieces are made, and the one of fewest sequences counts.
+    """
+    return min((_plan(histogram, capacity, depth) for depth in (3, 2, 1)), key=lambda kinds: sum(many for many, _ in kinds))
+
+
+def _plan(histogram: dict[int, int], capacity: int, depth: int) -> Kinds:
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    kinds: list[tuple[int, list[tuple[int, int]]]] = []
+    kinds: Kinds = []
     if counts[capacity]:
         kinds.append((int(counts[capacity]), [(capacity, 1)]))
         counts[capacity] = 0
     index = Complements(counts)
-    for length in range(capacity - 1, 0, -1):
+    for pieces, length in itertools.product(range(1, depth + 1), range(capacity - 1, 0, -1)):
         while counts[length] > 0:
             counts[length] -= 1  # so that a complement doesn't use it
-            found = index.fill(capacity - length)
+            found = index.fill(capacity - length, pieces)
             counts[length] += 1
             if found is None:
                 break
