@@ -24,8 +24,15 @@ from beaconfold.plans.mappings import (  # noqa: E402
     update_campaigns,
     update_names,
 )
-from beaconfold.plans.viewability import Warehouse, build_mart, build_sessions, raw_source, run_day  # noqa: E402
-from beaconfold.profiles import PROFILES, select_profiles  # noqa: E402
+from beaconfold.plans.viewability import (  # noqa: E402
+    Warehouse,
+    build_mart,
+    build_sessions,
+    for_each_partner,
+    raw_source,
+    run_day,
+)
+from beaconfold.profiles import PROFILES, PartnerProfile, select_profiles  # noqa: E402
 from beaconfold.sinks.tables import write_notices  # noqa: E402
 
 
@@ -105,7 +112,6 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> None:
             names_root=args.names_root,
             state_path=args.state_path,
             now=now,
-            version=version,
         )
         return
     if args.job == "new-files":
@@ -117,18 +123,28 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> None:
             state_path=args.state_path,
             client_id=args.client_id,
             notices_path=f"{args.notices_root}/{version}",
-            version=version,
         )
         return
 
     offset = args.data_date_tz_offset
+    if offset is not None and args.day_mode == "calendar":
+        raise ValueError("calendar days need the zone, not an offset")
     offset = utc_offset_seconds(args.data_date) if offset is None else offset
     hours = day_hours(args.data_date, args.day_mode)
     warehouse = _warehouse(args)
-    for profile in select_profiles(args.partners):
+    profiles = select_profiles(args.partners)
+    if args.job == "campaigns":
+        without = [p.name for p in profiles if p.measurement_source_id is None]
+        if args.partners and without:
+            raise ValueError(f"no campaign mappings for {', '.join(without)}: no measurement source id")
+        if without:
+            print(f"left out, without measurement source id: {', '.join(without)}")
+        profiles = [p for p in profiles if p.name not in without]
+
+    def run(profile: PartnerProfile) -> None:
         if args.job == "day":
             notices = run_day(
-                spark, profile, warehouse, args.data_date, tz_offset=offset, day_mode=args.day_mode
+                spark, profile, warehouse, args.data_date, tz_offset=args.data_date_tz_offset, day_mode=args.day_mode
             )
             if args.notices_root:
                 write_notices(notices, f"{args.notices_root}/{profile.name}/date={args.data_date}")
@@ -139,7 +155,7 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> None:
         elif args.job == "campaign-pairs":
             raw = raw_source(spark, profile, warehouse)
             extract_campaigns(raw, profile, args.data_date, f"{args.pairs_root}/{profile.name}", offset, hours)
-        elif args.job == "campaigns" and profile.measurement_source_id is not None:
+        elif args.job == "campaigns":
             update_campaigns(
                 spark,
                 profile,
@@ -148,14 +164,18 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> None:
                 entities=spark.table(args.entity_table),
                 campaigns_root=args.campaigns_root,
                 exceptions_path=f"{args.exceptions_root}/{profile.name}/date={args.data_date}",
-                version=version,
             )
 
+    for_each_partner(profiles, run)
+
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"beaconfold {args.job}").getOrCreate()
-    execute(spark, args)
+    spark = SparkSession.builder.appName(f"beaconfold {args.job}").enableHiveSupport().getOrCreate()
+    try:
+        execute(spark, args)
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":

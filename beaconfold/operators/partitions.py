@@ -43,9 +43,18 @@ def expired_partitions(dates: DataFrame, as_of: Column, keep_days: Mapping[str,
     return dates.select(F.inline(kinds), "date").where(F.col("date") < F.date_sub(as_of, F.col("keep_days")))
 
 
-def table_partitions(spark: SparkSession, table: str) -> DataFrame:
-    """Partitions the catalog knows for a table, one string column per partition key. Reads no data."""
-    listed = spark.sql(f"SHOW PARTITIONS {table}")
+def _text(value: str) -> str:
+    """A value as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def table_partitions(spark: SparkSession, table: str, of: tuple[str, str] | None = None) -> DataFrame:
+    """Partitions the catalog knows for a table, one string column per partition key. Reads no data.
+
+    ``of`` (key, value) asks the catalog for the partitions below that one only.
+    """
+    only = f" PARTITION ({of[0]} = {_text(of[1])})" if of else ""
+    listed = spark.sql(f"SHOW PARTITIONS {table}{only}")
     keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     return listed.select(*[F.regexp_extract("partition", rf"(?:^|/){k}=([^/]*)", 1).alias(k) for k in keys])
 
@@ -59,7 +68,7 @@ def register_partitions(spark: SparkSession, table: str, plan: DataFrame) -> int
     rows = plan.collect()
     if rows:
         parts = " ".join(
-            "PARTITION (" + ", ".join(f"{k} = '{row[k]}'" for k in keys) + f") LOCATION '{row['location']}'"
+            "PARTITION (" + ", ".join(f"{k} = {_text(row[k])}" for k in keys) + f") LOCATION {_text(row['location'])}"
             for row in rows
         )
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")

@@ -20,14 +20,12 @@ from beaconfold.operators.files import (
 )
 from beaconfold.operators.names import incoming_names, merge_names
 from beaconfold.profiles import PartnerProfile
-from beaconfold.schemas import DATED_FILE_PATTERN
+from beaconfold.schemas import DATED_FILE_PATTERN, NAME_TABLE
 from beaconfold.sinks.tables import write_notices, write_pairs
 from beaconfold.sources.events import day_events
-from beaconfold.sources.files import list_files, read_name_rows, read_pairs
-from beaconfold.sources.state import read_snapshot, read_state, save_state, write_snapshot
-
-# Up to this many files, their listing (a few hundred bytes each) is sent to every task.
-BROADCAST_FILES = 10_000
+from beaconfold.sources.files import exact_paths, list_files, read_name_rows, read_pairs
+from beaconfold.sources.scratch import shared_dir
+from beaconfold.sources.state import read_snapshot, read_state, save_state, update_snapshot
 
 # The name feeds of a partner, reference table -> file name prefix.
 NAME_FEEDS = {
@@ -60,7 +58,6 @@ def update_campaigns(
     entities: DataFrame,
     campaigns_root: str,
     exceptions_path: str,
-    version: int,
 ) -> bool:
     """Apply one day's extracted pairs to the campaign table; False if nothing was extracted.
 
@@ -72,9 +69,12 @@ def update_campaigns(
         return False
     source_id = profile.measurement_source_id
     campaigns = read_snapshot(spark, campaigns_root)
-    classified = classify_pairs(pairs, entities, campaigns, source_id)
-    write_notices(mapping_exceptions(classified), exceptions_path)
-    write_snapshot(apply_pairs(campaigns, classified, source_id), campaigns_root, version)
+    write_notices(mapping_exceptions(classify_pairs(pairs, entities, campaigns, source_id)), exceptions_path)
+
+    def apply(base: DataFrame) -> DataFrame:
+        return apply_pairs(base, classify_pairs(pairs, entities, base, source_id), source_id)
+
+    update_snapshot(spark, campaigns_root, apply)
     return True
 
 
@@ -88,33 +88,38 @@ def update_names(
     names_root: str,
     state_path: str,
     now: datetime,
-    version: int,
     pattern: str = DATED_FILE_PATTERN,
+    multi_line: bool = True,
 ) -> bool:
     """Merge the newest unprocessed name files of one feed; False if there are none.
 
-    State is saved last: a run that fails before is repeated, with the same outcome.
+    The selection is written down once: the same files and etags are read, merged and remembered. A file replaced
+    meanwhile has another etag and is met again by the next run. State is saved last: a run that fails before is
+    repeated, with the same outcome. The keys of one feed's newest date come to the driver, which has to name them to the reader.
     """
     state_key = name_state_key(table, source_id)
-    listing = list_files(spark, files_dir, f"{name_prefix}*").withColumn("stateKey", state_key)
+    listing = list_files(spark, files_dir, name_prefix).withColumn("stateKey", state_key)
     state = read_state(spark, state_path).where(F.col("stateKey") == state_key)
-    selected = select_latest_files(listing, state, pattern)
-    first = selected.select("timestamp").first()
-    if first is None:
+    selected = _fixed(select_latest_files(listing, state, pattern), "selected-names")
+    keys = [r["key"] for r in selected.select("key").toLocalIterator()]
+    if not keys:
         return False
 
-    # The glob keeps older dates from being read; the join then picks the exact files.
-    rows = read_name_rows(spark, files_dir, name_glob=f"{name_prefix}*{first['timestamp']}*")
-    # Rows of a file share its key: a shuffle by key would put a large file into one task.
-    if selected.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
-        selected = F.broadcast(selected)
-    target = read_snapshot(spark, names_root)
+    rows = read_name_rows(spark, exact_paths(keys), multi_line=multi_line)
     incoming = incoming_names(rows, selected)
-    write_snapshot(merge_names(target, incoming, source_id, now), names_root, version)
-    save_state(encode_feed_state(advance_feed_state(selected, state)), state_path, version)
+    update_snapshot(spark, names_root, lambda names: merge_names(names, incoming, source_id, now), NAME_TABLE)
+    save_state(encode_feed_state(advance_feed_state(selected, state)), state_path)
     return True
 
 
+def _fixed(selection: DataFrame, name: str) -> DataFrame:
+    """A selection of files written to the shared folder, so that later listings don't change it."""
+    spark = selection.sparkSession
+    path = shared_dir(spark, name)
+    selection.write.parquet(path)
+    return spark.read.schema(selection.schema).parquet(path)
+
+
 def notify_new_files(
     spark: SparkSession,
     *,
@@ -124,16 +129,15 @@ def notify_new_files(
     state_path: str,
     client_id: str,
     notices_path: str,
-    version: int,
 ) -> bool:
     """Write a load notice for each new or changed file; False if there are none.
 
     Notices go out before state is saved, so a file is announced at least once.
     """
-    listing = list_files(spark, files_dir, f"{name_prefix}*")
-    new = detect_new_files(listing, read_state(spark, state_path), files_type)
+    listing = list_files(spark, files_dir, name_prefix)
+    new = _fixed(detect_new_files(listing, read_state(spark, state_path), files_type), "selected-files")
     if new.isEmpty():
         return False
     write_notices(load_manifest(new, client_id, F.col("key")), notices_path)
-    save_state(processed_file_state(new), state_path, version)
+    save_state(processed_file_state(new), state_path)
     return True

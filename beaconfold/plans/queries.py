@@ -19,6 +19,7 @@ from beaconfold.operators import partitions as pt
 from beaconfold.operators.events import dedupe_events
 from beaconfold.operators.mart import daily_mart
 from beaconfold.operators.sessions import RULES, ad_sessions, rule_columns, session_facts
+from beaconfold.plans.mappings import update_names
 from beaconfold.plans.viewability import Warehouse, run_day
 from beaconfold.profiles import PINTEREST, SNAPCHAT, PartnerProfile
 from beaconfold.schemas import EVENT_TYPES, FRAUD_CATEGORIES, MART_KEYS, MART_MEASURES, RETENTION_DAYS
@@ -26,6 +27,7 @@ from beaconfold.sinks.tables import read_mart, write_mart, write_pairs, write_se
 from beaconfold.sources.events import day_events, read_sessions
 from beaconfold.sources.files import read_pairs
 from beaconfold.sources.scratch import shared_dir
+from beaconfold.sources.state import read_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +64,13 @@ def local_day_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_windows(dates, tz_offset=OFFSET)
 
 
+@_query
+def local_day_window_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = fx.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("data_date")).distinct()
+    modes = [day_windows(dates, zone="America/New_York", day_mode=m).withColumn("day_mode", F.lit(m)) for m in ("fixed24", "calendar")]
+    return modes[0].unionByName(modes[1])
+
+
 @_query
 def source_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir)
@@ -294,5 +303,31 @@ def viewability_day_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, f"{root}/mart/snapchat", DATE).select(*MART_KEYS, *MART_MEASURES.names)
 
 
+@_query
+def name_mapping_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over CSV files of customers: an older date, then a nested folder of the newest date that grows."""
+    root = shared_dir(spark, "names")
+    customers = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    broken = customers.withColumn("name", F.concat("name", F.lit('\n"'), F.col("id").cast("string"), F.lit('"')))
+    feed = f"{root}/in/advertiser_generic_feed"
+
+    def write(rows: DataFrame, folder: str) -> None:
+        rows.write.option("header", True).option("escape", '"').csv(f"{feed}/{folder}")
+
+    def run(day: int) -> bool:
+        return update_names(
+            spark, table="PARTNER_MEASURED_ADVERTISER", source_id=10, files_dir=f"{root}/in", name_prefix="advertiser_generic_",
+            names_root=f"{root}/names", state_path=f"{root}/state", now=datetime(2024, 1, day), pattern=r".*_(\d{8})[/.].*",
+        )
+
+    write(customers.where("id % 3 = 0"), "a_20240101.csv")
+    write(broken, "deep/b_20240102.csv")
+    first = run(15)
+    write(customers.where("id % 5 = 0"), "deep/c_20240102.csv")
+    second, third = run(16), run(17)
+    names = read_snapshot(spark, f"{root}/names").select("ID", "NAME", "CREATED_ON", "LAST_MODIFIED")
+    return names.withColumn("runs", F.lit(f"{first} {second} {third}"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

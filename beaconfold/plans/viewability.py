@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconfold.functions.calendar import day_hours, utc_offset_seconds
+from beaconfold.functions.calendar import day_hours, utc_offset_seconds, utc_windows
 from beaconfold.functions.expressions import nodash
 from beaconfold.operators.files import load_manifest
 from beaconfold.operators.mart import daily_mart
@@ -52,20 +53,25 @@ class Warehouse:
     site_mart: bool = False
 
 
-def raw_source(spark: SparkSession, profile: PartnerProfile, warehouse: Warehouse) -> DataFrame:
+def raw_source(
+    spark: SparkSession, profile: PartnerProfile, warehouse: Warehouse, utcdates: Sequence[str] | None = None
+) -> DataFrame:
+    """Raw events; of a directory, only the given UTC dates' folders are listed."""
     if warehouse.raw_database is not None:
         return read_events(spark, profile, database=warehouse.raw_database)
-    return read_events(spark, profile, path=f"{warehouse.raw_root}/{profile.name}")
+    return read_events(spark, profile, path=f"{warehouse.raw_root}/{profile.name}", utcdates=utcdates)
 
 
 def check_complete(
     spark: SparkSession, profile: PartnerProfile, warehouse: Warehouse, data_date: str, tz_offset: int, hours: int
 ) -> None:
     """Raise unless every hour of the data day has a source partition. Looks at partition names only."""
+    utcdates = [d for d, _, _ in utc_windows(data_date, tz_offset, hours)]
     if warehouse.raw_database is not None:
-        present = table_partitions(spark, f"{warehouse.raw_database}.{profile.name}")
+        table = f"{warehouse.raw_database}.{profile.name}"
+        present = reduce(DataFrame.unionByName, [table_partitions(spark, table, ("utcdate", d)) for d in utcdates])
     else:
-        present = list_partition_hours(spark, f"{warehouse.raw_root}/{profile.name}")
+        present = list_partition_hours(spark, f"{warehouse.raw_root}/{profile.name}", utcdates)
     day = spark.range(1).select(F.lit(data_date).cast("date").alias("data_date"))
     if hours == 24:
         missing = missing_source_hours(day, present, tz_offset=tz_offset)
@@ -80,7 +86,8 @@ def build_sessions(
     spark: SparkSession, profile: PartnerProfile, warehouse: Warehouse, data_date: str, tz_offset: int, hours: int = 24
 ) -> None:
     """Fold one data day and write its session partitions."""
-    events = day_events(raw_source(spark, profile, warehouse), profile, data_date, tz_offset, hours)
+    utcdates = [d for d, _, _ in utc_windows(data_date, tz_offset, hours)]
+    events = day_events(raw_source(spark, profile, warehouse, utcdates), profile, data_date, tz_offset, hours)
     sessions = ad_sessions(events, profile, data_date, tz_offset)
     write_sessions(sessions, f"{warehouse.session_root}/{profile.name}", data_date, warehouse.session_format)
 
@@ -97,7 +104,7 @@ def build_mart(spark: SparkSession, profile: PartnerProfile, warehouse: Warehous
 def register_day(spark: SparkSession, table: str, root: str, data_date: str, *, by_hour: bool) -> int:
     """Register the partitions of one date in the catalog; returns how many were new."""
     day = spark.range(1).select(F.lit(nodash(data_date)).alias("estdate"))
-    plan = partitions_to_register(day, table_partitions(spark, table), f"{root.rstrip('/')}/", by_hour)
+    plan = partitions_to_register(day, table_partitions(spark, table, ("estdate", nodash(data_date))), f"{root.rstrip('/')}/", by_hour)
     return register_partitions(spark, table, plan)
 
 
@@ -111,6 +118,8 @@ def run_day(
     day_mode: str = "fixed24",
 ) -> DataFrame:
     """One partner's day from raw events to mart; returns the load notices to send."""
+    if tz_offset is not None and day_mode == "calendar":
+        raise ValueError("calendar days need the zone, not an offset")
     tz_offset = utc_offset_seconds(data_date) if tz_offset is None else tz_offset
     hours = day_hours(data_date, day_mode)
     check_complete(spark, profile, warehouse, data_date, tz_offset, hours)
@@ -135,6 +144,28 @@ def run_day(
 def run_days(
     spark: SparkSession, warehouse: Warehouse, data_date: str, partners: Iterable[str] | None = None, **day: object
 ) -> dict[str, DataFrame]:
-    """The daily run for the partners named, or for all of them."""
+    """The daily run for the partners named, or for all of them; one that fails doesn't keep the others from running."""
     profiles = select_profiles(None if partners is None else list(partners))
-    return {p.name: run_day(spark, p, warehouse, data_date, **day) for p in profiles}
+    notices: dict[str, DataFrame] = {}
+
+    def run(profile: PartnerProfile) -> None:
+        notices[profile.name] = run_day(spark, profile, warehouse, data_date, **day)
+
+    for_each_partner(profiles, run)
+    return notices
+
+
+def for_each_partner(profiles: Iterable[PartnerProfile], run: Callable[[PartnerProfile], None]) -> None:
+    """Run every partner, then raise what failed: a partner run alone raises its own error, several raise a group."""
+    failed: list[Exception] = []
+    profiles = list(profiles)
+    for profile in profiles:
+        try:
+            run(profile)
+        except Exception as e:
+            e.add_note(f"partner {profile.name}")
+            failed.append(e)
+    if failed and len(profiles) == 1:
+        raise failed[0]
+    if failed:
+        raise ExceptionGroup(f"{len(failed)} partner runs failed", failed)

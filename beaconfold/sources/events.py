@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +17,12 @@ ORDER = "event_seq"
 
 
 def read_events(
-    spark: SparkSession, profile: PartnerProfile, *, database: str | None = None, path: str | None = None
+    spark: SparkSession,
+    profile: PartnerProfile,
+    *,
+    database: str | None = None,
+    path: str | None = None,
+    utcdates: Sequence[str] | None = None,
 ) -> DataFrame:
     """A partner's raw events, from catalog table ``database.<partner>`` or a parquet directory.
 
@@ -29,12 +36,16 @@ def read_events(
     schema = RAW_EVENTS
     if profile.event_order is not None:
         schema = T.StructType([*RAW_EVENTS.fields, T.StructField(profile.event_order, T.LongType())])
-    return spark.read.schema(schema).parquet(path)
+    if utcdates is None:
+        return spark.read.schema(schema).parquet(path)
+    # Only these dates' folders are listed.
+    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/utcdate={{{','.join(utcdates)}}}")
 
 
 def canonical_events(raw: DataFrame, profile: PartnerProfile) -> DataFrame:
     """Raw events under canonical names, with the absent channel dimension and a total order."""
-    order = F.struct("timestamp", F.xxhash64(*raw.columns))
+    # Of the declared columns only: another one, a map for instance, is neither read nor able to change the order.
+    order = F.struct("timestamp", F.xxhash64(*[c for c in raw.columns if c in RAW_EVENTS.names]))
     if profile.event_order is not None:
         order = F.col(profile.event_order)
     return raw.withColumns(
@@ -51,7 +62,9 @@ def day_events(
 
 def read_sessions(spark: SparkSession, path: str, data_date: str, file_format: str = "parquet") -> DataFrame:
     """Stored sessions of one day from the directory layout ``date=…/hour=…``."""
-    stored = spark.read.format(file_format).schema(SESSIONS).load(path)
+    # Only this date's folder is listed.
+    day = f"{path}/date={nodash(data_date)}"
+    stored = spark.read.format(file_format).schema(SESSIONS).option("basePath", path).load(day)
     return stored.where(F.col("date") == nodash(data_date)).select(*SESSIONS.names)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,20 +19,35 @@ def _file_key() -> Column:
     return F.url_decode(uri)
 
 
-def list_files(spark: SparkSession, directory: str, name_glob: str = "*") -> DataFrame:
-    """Files under a directory as (key, etag), without reading them.
+def _under(spark: SparkSession, directory: str, key: Column) -> Column:
+    """The part of a key below a directory."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    whole = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    depth = len(re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", whole).rstrip("/"))
+    return F.substr(F.regexp_replace(key, r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/"), F.lit(depth + 2))
 
-    ``etag`` changes with size or modification time. Where the object store's own etags are
-    at hand, for instance from an inventory, pass a DataFrame of those instead.
-    """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(directory)
-    version = F.concat_ws("-", "length", F.unix_micros("modificationTime"))
-    return listing.select(_file_key().alias("key"), F.md5(version).alias("etag"))
 
+def list_files(spark: SparkSession, directory: str, key_prefix: str = "") -> DataFrame:
+    """Files under a directory, at any depth, as (key, etag), without reading them.
 
-def list_partition_hours(spark: SparkSession, path: str) -> DataFrame:
-    """Source partitions present in a directory layout ``utcdate=…/utchour=…``, from file names only."""
-    files = spark.read.format("binaryFile").load(f"{path}/utcdate=*/utchour=*")
+    ``key_prefix`` is compared with what follows the directory in the key, folders included. ``etag`` changes with
+    size or modification time, and is taken anew at each evaluation. Where the object store's own etags are at hand,
+    for instance from an inventory, pass a DataFrame of those instead.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
+    version = F.concat_ws("-", "length", F.unix_micros("modificationTime"))
+    named = listing.select(_file_key().alias("key"), F.md5(version).alias("etag"))
+    return named.where(F.startswith(_under(spark, directory, F.col("key")), F.lit(key_prefix)))
+
+
+def list_partition_hours(spark: SparkSession, path: str, utcdates: Sequence[str]) -> DataFrame:
+    """Source partitions of the given UTC dates in a layout ``utcdate=…/utchour=…``; other dates aren't listed."""
+    try:
+        files = spark.read.format("binaryFile").load(f"{path}/utcdate={{{','.join(utcdates)}}}/utchour=*")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "utcdate string, utchour string")
     return files.select(
         F.regexp_extract("path", "/utcdate=([^/]+)/", 1).alias("utcdate"),
         F.regexp_extract("path", "/utchour=([^/]+)/", 1).alias("utchour"),
@@ -42,30 +59,36 @@ def read_pairs(spark: SparkSession, root: str, data_date: str) -> DataFrame:
     return spark.read.schema(CAMPAIGN_PAIRS).json(f"{root}/date={nodash(data_date)}")
 
 
-def read_name_rows(
-    spark: SparkSession, paths: str | Sequence[str], *, name_glob: str = "*", multi_line: bool = False
-) -> DataFrame:
+def exact_paths(keys: Sequence[str]) -> list[str]:
+    """File keys as paths of a reader, which would take some characters for patterns."""
+    return [re.sub(r"([\\{}\[\]*?^,])", r"\\\1", k) for k in keys]
+
+
+def read_name_rows(spark: SparkSession, paths: str | Sequence[str], *, multi_line: bool = False) -> DataFrame:
     """Rows of id/name CSV files as (key, row_no, id, name), ``row_no`` in file order.
 
     The first line is a header, quotes are doubled inside quoted fields, and columns beyond
-    the second are ignored. An id that is no number is an error. A file may be read in
-    several splits: rows sort by the start of their split, then by position within it.
+    the second are ignored. An id that is no number is an error, and so is a row without a name field; an empty field
+    is an empty name. A file may be read in several splits: rows sort by the start of their split, then by position
+    within it. With ``multi_line``, quoted fields may hold line breaks, and a file is read as one split.
     """
     lines = (
-        spark.read.schema("id string, name string")
+        spark.read.schema("id string, name string, _raw string")
         .option("header", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("multiLine", multi_line)
-        .option("pathGlobFilter", name_glob)
+        .option("columnNameOfCorruptRecord", "_raw")
         .csv(paths if isinstance(paths, str) else list(paths))
     )
     not_a_number = F.raise_error(F.concat(F.lit("not an id: "), F.coalesce("id", F.lit("nothing"))))
+    # A row of too few or too many fields has its text in _raw; without a separator it is too few.
+    no_name = F.col("name").isNull() & F.col("_raw").isNotNull() & ~F.contains("_raw", F.lit(","))
     return lines.select(
         _file_key().alias("key"),
         F.struct(
             F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
         ).alias("row_no"),
         F.coalesce(F.expr("try_cast(trim(id) AS bigint)"), not_a_number).alias("id"),
-        F.coalesce("name", F.lit("")).alias("name"),
+        F.when(no_name, F.raise_error(F.concat(F.lit("no name field: "), "_raw"))).otherwise(F.coalesce("name", F.lit(""))).alias("name"),
     )

@@ -1,44 +1,111 @@
-"""Pipeline state and reference-table snapshots kept as files.
+"""Pipeline state and reference tables kept as versions of a folder.
 
-Both are append-only: a run adds rows or a snapshot and never rewrites what it reads, so a
-run that dies half-way leaves the last complete version in force and can be repeated.
+A version is a folder of files and a commit marker with the version's number, created last and never overwritten. So a
+half-written version doesn't count, and of two writers on the same base the second one fails and repeats its change on
+the new base. Old versions are removed after a commit.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+import uuid
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STATE_LOG = "stateKey string, value string, version bigint"
+from beaconfold.sources.scratch import remove_dir
 
+STATE = "stateKey string, value string"
+#: Versions that stay, for readers that began before later commits.
+KEPT_VERSIONS = 5
+
+
+class SnapshotConflict(Exception):
+    """Another writer has committed this version."""
 
-def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """Latest value per state key: (stateKey, value). A log yet to be written is empty state."""
-    try:
-        log = spark.read.schema(STATE_LOG).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        empty = F.lit(None).cast("string")
-        return spark.range(0).select(empty.alias("stateKey"), empty.alias("value"))
-    return log.groupBy("stateKey").agg(F.max_by("value", "version").alias("value"))
 
+def _place(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
-def save_state(records: DataFrame, path: str, version: int) -> None:
-    """Append state records under a version, larger than those before (a run time, say)."""
-    versioned = records.select("stateKey", "value", F.lit(version).cast("bigint").alias("version"))
-    versioned.write.mode("append").parquet(path)
+
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """Committed versions and their folders, oldest first; a handful, as old ones are removed."""
+    files, where = _place(spark, root)
+    if not files.exists(where):
+        return []
+    found = []
+    for status in files.listStatus(where):
+        marked = re.fullmatch(r"_commit-(\d+)", status.getPath().getName())
+        if marked and status.getLen():
+            stream = files.open(status.getPath())
+            folder = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            found.append((int(marked[1]), folder))
+    return sorted(found)
+
+
+def snapshot_version(spark: SparkSession, root: str) -> int:
+    """The newest committed version, 0 if there is none."""
+    return max((v for v, _ in _versions(spark, root)), default=0)
 
 
 def write_snapshot(table: DataFrame, root: str, version: int) -> None:
-    """Write a new version of a reference table next to the earlier ones."""
-    table.write.mode("errorifexists").parquet(f"{root}/snapshot={version}")
+    """Write and commit a version of a reference table; ``SnapshotConflict`` if that number is taken."""
+    spark = table.sparkSession
+    folder = f"snapshot={version}-{uuid.uuid4().hex}"
+    table.write.parquet(f"{root}/{folder}")
+    files, marker = _place(spark, f"{root}/_commit-{version}")
+    try:
+        stream = files.create(marker, False)
+    except Py4JJavaError as e:
+        remove_dir(spark, f"{root}/{folder}")
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            raise SnapshotConflict(f"version {version} of {root}") from None
+        raise
+    stream.write(folder.encode())
+    stream.close()
+    for old, its_folder in _versions(spark, root)[:-KEPT_VERSIONS]:
+        files.delete(_place(spark, f"{root}/_commit-{old}")[1], False)
+        remove_dir(spark, f"{root}/{its_folder}")
+
+
+def read_snapshot(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame:
+    """The newest committed version. Before the first one it is an empty table, if ``schema`` is given."""
+    versions = _versions(spark, root)
+    if versions:
+        return spark.read.parquet(f"{root}/{versions[-1][1]}")
+    if schema is None:
+        raise FileNotFoundError(f"no committed version under {root}")
+    return spark.createDataFrame([], schema)
+
+
+def update_snapshot(
+    spark: SparkSession, root: str, change: Callable[[DataFrame], DataFrame], schema: str | None = None, attempts: int = 5
+) -> int:
+    """Commit ``change`` of the newest version as the next one, again on a newer base if another writer was first."""
+    for attempt in range(attempts):
+        version = snapshot_version(spark, root) + 1
+        try:
+            write_snapshot(change(read_snapshot(spark, root, schema)), root, version)
+            return version
+        except SnapshotConflict:
+            if attempt + 1 == attempts:
+                raise
+    raise AssertionError("unreachable")
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """Value per state key: (stateKey, value). Before the first save it is empty."""
+    return read_snapshot(spark, path, STATE).select("stateKey", "value")
+
+
+def save_state(records: DataFrame, path: str) -> None:
+    """Set state records; others stay."""
 
+    def change(state: DataFrame) -> DataFrame:
+        return state.join(records, "stateKey", "left_anti").unionByName(records.select("stateKey", "value")).coalesce(1)
 
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of a reference table, found by file names alone."""
-    version = F.regexp_extract("path", r"/snapshot=(\d+)/", 1).cast("bigint")
-    files = spark.read.format("binaryFile").load(f"{root}/snapshot=*")
-    newest = files.agg(F.max(version)).first()[0]
-    return spark.read.parquet(f"{root}/snapshot={newest}")
+    update_snapshot(records.sparkSession, path, change, STATE)

@@ -386,6 +386,18 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders), generate_series(0, 23) g(n))
           SELECT data_date, strftime(u, '%Y%m%d') AS utcdate, min(strftime(u, '%H')) AS first_hour,
             max(strftime(u, '%H')) AS last_hour FROM h GROUP BY 1, 2""",
+        "local_day_window_zone": """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d, m.day_mode FROM orders,
+              (VALUES ('fixed24'), ('calendar')) m(day_mode)),
+            s AS (SELECT d, day_mode, timezone('UTC', timezone('America/New_York', CAST(d AS TIMESTAMP))) AS a,
+              timezone('UTC', timezone('America/New_York', CAST(d + 1 AS TIMESTAMP))) AS b FROM d),
+            h AS (SELECT d AS data_date, day_mode, a + n * INTERVAL 1 HOUR AS u FROM s, generate_series(0, 24) g(n)
+              WHERE a + n * INTERVAL 1 HOUR < CASE day_mode WHEN 'calendar' THEN b ELSE a + INTERVAL 24 HOUR END)
+          SELECT data_date, strftime(u, '%Y%m%d') AS utcdate, min(strftime(u, '%H')) AS first_hour,
+            max(strftime(u, '%H')) AS last_hour, day_mode FROM h GROUP BY ALL""",
+        "name_mapping_run": """SELECT c_custkey AS "ID",
+            CASE WHEN c_custkey % 5 = 0 THEN c_name ELSE c_name || chr(10) || '"' || c_custkey || '"' END AS "NAME",
+            TIMESTAMP '2024-01-15' AS "CREATED_ON",
+            CASE WHEN c_custkey % 5 = 0 THEN TIMESTAMP '2024-01-16' END AS "LAST_MODIFIED", 'True True False' AS runs FROM customer""",
         "source_day_scan": f"WITH {day('s1')} SELECT * FROM e",
         "source_completeness": f"""WITH {RAW}, {LOCAL},
           w AS (SELECT CAST(strptime(estdate, '%Y%m%d') AS DATE) AS data_date,

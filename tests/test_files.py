@@ -9,7 +9,15 @@ from beaconfold.operators import names as nm
 from beaconfold.plans.mappings import notify_new_files, update_names
 from beaconfold.schemas import NAME_TABLE
 from beaconfold.sources.files import list_files, read_name_rows
-from beaconfold.sources.state import read_snapshot, read_state, write_snapshot
+from beaconfold.sources.state import (
+    SnapshotConflict,
+    read_snapshot,
+    read_state,
+    save_state,
+    snapshot_version,
+    update_snapshot,
+    write_snapshot,
+)
 
 STATE = "stateKey string, value string"
 LISTING = "stateKey string, key string, etag string"
@@ -170,7 +178,6 @@ def feed(spark, tmp_path):
             names_root=str(tmp_path / "names"),
             state_path=str(tmp_path / "state"),
             now=datetime(2024, 1, version),
-            version=version,
         )
 
     return inbound, tmp_path, run
@@ -208,7 +215,6 @@ def test_new_file_run(spark, tmp_path):
             state_path=str(tmp_path / "state"),
             client_id="c",
             notices_path=str(tmp_path / f"notices{version}"),
-            version=version,
         )
 
     def notices(version):
@@ -234,3 +240,71 @@ def test_odd_file_names_match_between_listing_and_rows(spark, tmp_path):
     listed = list_files(spark, str(tmp_path)).first()["key"]
     assert listed.endswith("/a b+c%20d_20240101.csv")
     assert read_name_rows(spark, str(tmp_path)).first()["key"] == listed
+
+
+def test_key_prefix_reaches_nested_and_dated_folders(spark, feed):
+    inbound, root, run = feed
+    nested = inbound / "advertiser_generic_feed_20240103" / "deep"
+    nested.mkdir(parents=True)
+    (nested / "part_20240103.csv").write_text('id,name\n7,"two\nlines"\n8,\n')
+    assert run(5)
+    names = {r["ID"]: r["NAME"] for r in read_snapshot(spark, f"{root}/names").collect()}
+    assert names == {2: "two", 7: "two\nlines", 8: ""}
+    assert not run(6)
+
+
+def test_row_without_name_field_fails(spark, feed):
+    inbound, root, run = feed
+    (inbound / "advertiser_generic_20240104.csv").write_text("id,name\n1,x\n2\n")
+    with pytest.raises(Exception, match="no name field"):
+        run(7)
+    assert read_state(spark, f"{root}/state").count() == 0 and snapshot_version(spark, f"{root}/names") == 1
+
+
+def test_file_replaced_during_the_run_is_met_again(spark, feed, monkeypatch):
+    from beaconfold.plans import mappings
+
+    inbound, _, run = feed
+    merge = mappings.merge_names
+
+    def replace_then_merge(*args):
+        (inbound / "advertiser_generic_20240102_b.csv").write_text("id,name\n2,replaced later\n")
+        return merge(*args)
+
+    monkeypatch.setattr(mappings, "merge_names", replace_then_merge)
+    assert run(8)
+    monkeypatch.setattr(mappings, "merge_names", merge)
+    assert run(9) and not run(10)
+
+
+def test_snapshot_versions(spark, tmp_path):
+    root = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, root)
+    one = spark.createDataFrame([(1,)], "x bigint")
+    assert update_snapshot(spark, root, lambda base: base.unionByName(one), "x bigint") == 1
+    # Two writers on one base: the second is told, and its repeated change keeps the first one's rows.
+    with pytest.raises(SnapshotConflict):
+        write_snapshot(one, root, 1)
+    raced = []
+
+    def change(base):
+        if not raced:
+            raced.append(update_snapshot(spark, root, lambda b: b.unionByName(one.select((one.x + 1).alias("x")))))
+        return base.unionByName(one.select((one.x + 9).alias("x")))
+
+    assert update_snapshot(spark, root, change) == 3
+    assert sorted(r.x for r in read_snapshot(spark, root).collect()) == [1, 2, 10]
+    # A half-written version doesn't count.
+    (tmp_path / "table" / "snapshot=9-dead").mkdir()
+    assert snapshot_version(spark, root) == 3
+    for k in range(8):
+        update_snapshot(spark, root, lambda base: base)
+    assert len([p for p in (tmp_path / "table").iterdir() if p.name.startswith("snapshot=")]) == 6
+
+
+def test_state_records_override(spark, tmp_path):
+    records = [[("a", "1"), ("b", "1")], [("b", "2")]]
+    for r in records:
+        save_state(spark.createDataFrame(r, "stateKey string, value string"), str(tmp_path / "s"))
+    assert {tuple(r) for r in read_state(spark, str(tmp_path / "s")).collect()} == {("a", "1"), ("b", "2")}

@@ -105,7 +105,7 @@ def test_rerun_leaves_nothing_behind_and_other_dates_alone(spark, raw, tmp_path)
 def test_incomplete_source_stops_the_run(spark, raw, tmp_path):
     part = raw.where("NOT (utcdate = '20240115' AND utchour = '12')")
     part.write.partitionBy("utcdate", "utchour").parquet(f"{tmp_path}/raw/snapchat")
-    assert list_partition_hours(spark, f"{tmp_path}/raw/snapchat").where("utcdate = '20240115'").count() == 23
+    assert list_partition_hours(spark, f"{tmp_path}/raw/snapchat", ["20240115"]).count() == 23
     warehouse = Warehouse(session_root=f"{tmp_path}/s", mart_root=f"{tmp_path}/m", raw_root=f"{tmp_path}/raw")
     with pytest.raises(SourceIncomplete) as stopped:
         run_days(spark, warehouse, DATE, ["snapchat"])
@@ -166,7 +166,6 @@ def test_campaign_run(spark, raw, tmp_path):
             entities=fx.entities(spark, SF_DIR),
             campaigns_root=f"{tmp_path}/campaigns",
             exceptions_path=f"{tmp_path}/exceptions/{version}",
-            version=version,
         )
 
     assert run(2)
@@ -227,3 +226,45 @@ def test_command_line(spark, raw, tmp_path):
     assert read_snapshot(spark, f"{tmp_path}/names").where("NAME = 'one'").count() == 1
     run("new-files --files-dir {t}/in --name-prefix adv --files-type T --state-path {t}/state --notices-root {t}/f")
     assert spark.read.json(f"{tmp_path}/f/*").count() == 1
+
+
+def test_partners_are_isolated_and_refusals(spark, raw, tmp_path):
+    from beaconfold.main import _parser, execute
+
+    raw.drop("event_seq").write.partitionBy("utcdate", "utchour").parquet(f"{tmp_path}/raw/snapchat")
+    # Pinterest, which comes first, has no data; Snapchat's day is done all the same.
+    line = f"day --data-date 2024-01-15 --raw-root {tmp_path}/raw --session-root {tmp_path}/s --mart-root {tmp_path}/m"
+    with pytest.raises(ExceptionGroup) as failed:
+        execute(spark, _parser().parse_args(line.split()))
+    assert len(failed.value.exceptions) == 1 and read_mart(spark, f"{tmp_path}/m/snapchat", DATE).count() > 0
+    with pytest.raises(ValueError, match="zone"):
+        execute(spark, _parser().parse_args([*line.split(), "--day-mode", "calendar", "--data-date-tz-offset", "0"]))
+    refused = "campaigns --data-date 2024-01-15 --partners pinterest --pairs-root p --entity-table e --campaigns-root c --exceptions-root x"
+    with pytest.raises(ValueError, match="pinterest"):
+        execute(spark, _parser().parse_args(refused.split()))
+
+
+def test_other_days_are_not_listed(spark, tmp_path):
+    from beaconfold.sources.files import list_partition_hours
+
+    for day in ("20240114", "20240115", "20240116"):
+        (tmp_path / f"utcdate={day}" / "utchour=03").mkdir(parents=True)
+        (tmp_path / f"utcdate={day}" / "utchour=03" / "f").write_text("x")
+    assert [tuple(r) for r in list_partition_hours(spark, str(tmp_path), ["20240115"]).collect()] == [("20240115", "03")]
+    assert list_partition_hours(spark, str(tmp_path), ["20250101"]).count() == 0
+
+
+def test_shared_root_is_refused_without_a_setting(spark):
+    from types import SimpleNamespace
+
+    from beaconfold.sources.scratch import shared_root
+
+    none = SimpleNamespace(isDefined=lambda: False)
+    context = SimpleNamespace(
+        master="spark://host:7077",
+        getConf=lambda: SimpleNamespace(get=lambda name: None),
+        _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none)),
+    )
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=context)
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        shared_root(session)

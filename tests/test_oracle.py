@@ -4,12 +4,13 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry_point
+import oracles
+from beaconfold.plans import queries as catalogue
 from tests.compare import duck, duck_result, spark_result
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = catalogue.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
