@@ -5,6 +5,7 @@ from dataclasses import replace
 import pytest
 
 import __spark_entry__ as entry_point
+from beaconfold.plans import queries as catalogue
 from beaconfold import fixtures as fx
 from beaconfold.operators.events import dedupe_events
 from beaconfold.operators.sessions import ad_sessions
@@ -39,9 +40,9 @@ def test_copies_collapse_before_the_shuffle(spark):
     assert "partial_min" in below_shuffle
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.queries()))
 def test_no_query_leaves_the_jvm_or_crosses_rows(spark, name):
-    plan = entry_point.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = catalogue.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval", "RDDScan", "ExistingRDD"):
         assert operator not in plan
 
