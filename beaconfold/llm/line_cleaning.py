@@ -17,6 +17,9 @@ million words.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,18 +76,21 @@ def line_fails(
     line: Column, min_line_words: int = 6, words_a_stop: int = 40, separator_share: float = 0.3, symbol_share: float = 0.5
 ) -> Column:
     """Whether a line fails one of the line rules."""
+    # Inside a lambda nothing is computed once for several uses: what decides most lines comes first, word counts last.
     n = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+"))
     stops = F.regexp_count(line, F.lit(STOP + r"(?=[\x20\x09-\x0D]|$)"))
     separators = F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])[|>/»•*-](?![^\x20\x09-\x0D])"))
-    low = F.lower(line)
-    phrase = F.lit(False)
-    for p in BOILERPLATE:
-        phrase = phrase | F.contains(low, F.lit(p))
+    symbols = F.regexp_count(line, F.lit(SYMBOLS))
+
+    def has_phrase(low: Column) -> Column:
+        return reduce(or_, [F.contains(low, F.lit(p)) for p in BOILERPLATE])
+
+    phrase = F.exists(F.array(F.lower(line)), has_phrase)
     ends = F.regexp_like(line, F.lit(STOP + r"[\x20\x09-\x0D]*$"))
-    no_punctuation = (n >= min_line_words) & ~ends & (stops * words_a_stop < n)
+    no_punctuation = ~ends & (n >= min_line_words) & (stops * words_a_stop < n)
     navigation = (separators >= 2) & (separators >= n * separator_share)
-    boilerplate = phrase | (F.regexp_count(line, F.lit(SYMBOLS)) >= F.greatest(n * symbol_share, F.lit(1)))
-    return (n > 0) & (no_punctuation | navigation | boilerplate)
+    boilerplate = phrase | ((symbols >= 1) & (symbols >= n * symbol_share))
+    return F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]")) & (no_punctuation | navigation | boilerplate)
 
 
 def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
