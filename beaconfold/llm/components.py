@@ -14,11 +14,12 @@ def components(links: DataFrame) -> DataFrame:
     In each round a node takes the least root of its neighbours, and then that root's own root, so the number of rounds
     grows with the logarithm of the longest chain; it ends when a round changes nothing. Minima are found by
     partial aggregation, so a node with any number of neighbours is no burden. Every round is written to the shared
-    folder. Loops (a = b), repeated links and an empty table are fine.
+    folder, and so is what is returned; ``links`` is read in each round: give a stored table. Loops (a = b), repeated
+    links and an empty table are fine.
     """
     spark = links.sparkSession
     both = links.where("a <> b").select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
-    both, both_at = staged(both.select("e.a", "e.b").distinct(), "links")
+    both = both.select("e.a", "e.b")
     state, path = staged(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"), "roots")
     while True:
         near = both.join(state, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("near"))
@@ -30,5 +31,4 @@ def components(links: DataFrame) -> DataFrame:
         discard(spark, path)
         state, path = new.drop("moved"), new_path
         if moved:
-            discard(spark, both_at)
             return state

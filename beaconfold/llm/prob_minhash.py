@@ -186,14 +186,15 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
             discard(spark, links_at)
             break
         # Classes so far are the nodes now: what is linked stays linked, and the graph gets smaller.
-        roots, roots_at = staged(components(links.toDF("a", "b")), "components")
+        roots = components(links.toDF("a", "b"))
         discard(spark, links_at)
         if found is None:
             found = roots
         else:
             step = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
             moved = found.join(step, F.col("root") == F.col("_node"), "left").select("node", F.coalesce("_root", "root").alias("root"))
-            found, _ = staged(moved.unionByName(roots.join(found.select("node"), "node", "left_anti")), "classes")
+            # Only composed here, from the rounds' stored tables; it runs once, at the end.
+            found = moved.unionByName(roots.join(found.select("node"), "node", "left_anti"))
         opened, _ = staged(_still_open(opened, roots), "open")
     classed = signed.select("doc_id", "row", "node")
     if found is not None:
