@@ -8,7 +8,7 @@ class. Inside an article a recurring subtree stays if it is a plain paragraph, h
 copies of one article, or a common sentence, recur as well; recurring boxes and sections go.
 
 Counts are added up in each task before the shuffle, so a host with a third of all pages is one row a subtree and task. What is joined
-back to a page are only the template hashes that it holds.
+back to a page are the template hashes of its host, a bounded list.
 
 Defined results: null html is empty; a page without text gives an empty text; null or odd URLs share a host of their own;
 unclosed and stray tags are accepted as browsers do; other columns stay out.
