@@ -8,9 +8,11 @@ similarity of its shingles, probability Jaccard or plain Jaccard, is ``threshold
 components of the links.
 
 Texts with the same words are one text from the start: one signature stands for all copies, and a class row is given
-to each document. Within a band, documents are not paired with one another: each is compared with two members drawn by a
-hash, other ones in each band; then bands that still hold several classes draw again among those, until a round finds
-no more links.
+to each document. Within a band, documents are not paired with one another: each is compared with its least and
+greatest member by node, and what is linked is one class from then on. Bands that still hold several classes, for example
+of texts around one common passage, are then split by rare shingles: two similar texts share one of the rarest fifth
+of each one's shingles (any order would do; rarity only keeps the groups small). A group with several classes is compared
+in blocks of bounded size, its largest class only with the others, so no link within a band is lost.
 
 Defined results: null and empty texts have no shingle and are one class; a text of fewer than five words is one
 shingle; class_id is the least doc_id of the class, null only if it has no other; other columns stay out.
@@ -20,10 +22,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,10 @@ from beaconfold.llm.hashing import groups_of, mix, text_bytes, word_hashes
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 24, 4, 0.8
 GROUP_BYTES = 1 << 20
+#: Counters for the rarity of shingles; what is broadcast has this many 32-bit numbers at every size of the corpus.
+RARITY_SLOTS = 1 << 21
+#: About how many members of each of two sides a block has, and how many shingles it looks at in one go.
+BLOCK_MEMBERS, BLOCK_COLUMNS = 128, 4096
 SIGNED = "doc_id bigint, row bigint, node binary, bands array<bigint>, shingles binary"
 
 
@@ -139,28 +145,189 @@ def _verify(threshold: float):
     return verify
 
 
-def _candidates(banded: DataFrame, seed: int) -> DataFrame:
-    """Pairs (a, b, ra, rb) of members of other classes with two drawn members of each band; ``banded``: band, node, root.
+def _candidates(banded: DataFrame) -> DataFrame:
+    """Pairs (a, b, ra, rb) of members of other classes with the two ends of each band; ``banded``: band, node, root.
 
-    The draw is the least and greatest node (a hash itself), later of a hash of it. So bands of one class mostly draw the
-    same two, and the first links already lead to the least node, which is the class's root.
+    The ends are the least and greatest node (a hash itself), so bands of one class mostly have the same two, and
+    links lead to the least node, which is the class's root.
     """
-    drawn = F.xxhash64(F.lit(seed), "node") if seed else F.lit(0).cast("bigint")
-    member = F.struct(drawn.alias("h"), F.col("node"), F.col("root"))
-    hubs = banded.groupBy("band").agg(F.min(member).alias("first"), F.max(member).alias("last"))
-    hubs = hubs.select("band", F.array("first", "last").alias("hubs"))
+    member = F.struct("node", "root")
+    hubs = banded.groupBy("band").agg(F.array(F.min(member), F.max(member)).alias("hubs"))
     pairs = banded.join(hubs, "band").select("node", "root", F.explode("hubs").alias("hub")).where("root <> hub.root")
     own, other = F.struct(F.col("node").alias("n"), F.col("root").alias("r")), F.struct(F.col("hub.node").alias("n"), F.col("hub.root").alias("r"))
     pairs = pairs.select(F.greatest(own, other).alias("x"), F.least(own, other).alias("y"))
     return pairs.select(F.col("x.n").alias("a"), F.col("y.n").alias("b"), F.col("x.r").alias("ra"), F.col("y.r").alias("rb")).distinct()
 
 
-def _still_open(banded: DataFrame, roots: DataFrame) -> DataFrame:
-    """``banded`` with new roots, and of it only the bands that still hold several classes."""
+def _several(banded: DataFrame) -> DataFrame:
+    """Of (band, node, root) only the bands that hold several classes."""
+    several = banded.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("band")
+    return banded.join(several, "band", "left_semi")
+
+
+def _renamed(banded: DataFrame, roots: DataFrame) -> DataFrame:
+    """``banded`` with new roots."""
     named = roots.withColumnsRenamed({"node": "_node", "root": "_root"})
-    rooted = banded.join(named, F.col("root") == F.col("_node"), "left").select("band", "node", F.coalesce("_root", "root").alias("root"))
-    several = rooted.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("band")
-    return rooted.join(several, "band", "left_semi")
+    return banded.join(named, F.col("root") == F.col("_node"), "left").select("band", "node", F.coalesce("_root", "root").alias("root"))
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles.astype(np.uint64)) % np.uint64(RARITY_SLOTS)).astype(np.int64)
+
+
+def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(RARITY_SLOTS, np.int64)
+    for batch in batches:
+        for text in batch.column("shingles").to_pylist():
+            np.add.at(counts, _slots(np.unique(np.frombuffer(text, "<u4"))), 1)
+    at = np.flatnonzero(counts)
+    for first in range(0, len(at), 1 << 16):
+        part = at[first : first + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], ["slot", "n"])
+
+
+def rarest(shingles: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """The shingles of a text, rarest first, that hold one of each text as similar as ``threshold``.
+
+    What comes before the first common shingle isn't shared. For plain Jaccard that is at most ``1 - threshold`` of the
+    distinct shingles; for probability Jaccard, at most that part of the weight, for it is never more than the sum of the
+    lesser of both texts' shares. Shingles whose counter says that no other text has them are left out.
+    """
+    found, weight = np.unique(shingles, return_counts=True)
+    often = counts[_slots(found)]
+    order = np.lexsort((found, often))
+    found, weight, often = found[order], weight[order], often[order]
+    before = np.cumsum(weight) - weight
+    unshared = (1 - threshold) * (1 + 1e-9)
+    within = (np.arange(len(found)) <= unshared * len(found)) | (before <= unshared * weight.sum())
+    return found[within & (often > 1)]
+
+
+def _rare(slot_counts: Broadcast, threshold: float):
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = slot_counts.value
+        for batch in batches:
+            kept = [rarest(np.frombuffer(text, "<u4"), counts, threshold) for text in batch.column("shingles").to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(kept)), [len(k) for k in kept]))
+            bands = np.concatenate(kept).astype(np.int64) if kept else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bands), batch.column("node").take(at), batch.column("root").take(at)], ["band", "node", "root"])
+
+    return rare
+
+
+def _rare_groups(opened: DataFrame, payload: DataFrame, threshold: float) -> tuple[DataFrame, Broadcast]:
+    """The members of open bands, grouped by their rare shingles instead: (band, node, root); and the shingles' counters."""
+    held, _ = staged(opened.select("node", "root").distinct().join(payload, "node"), "held")
+    totals = held.mapInArrow(_count_slots, "slot bigint, n bigint").groupBy("slot").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).alias("n")).toArrow()
+    counts = np.zeros(RARITY_SLOTS, np.int32)
+    counts[totals.column("slot").to_numpy()] = totals.column("n").to_numpy()
+    shared = opened.sparkSession.sparkContext.broadcast(counts)
+    return held.mapInArrow(_rare(shared, threshold), "band bigint, node binary, root binary"), shared
+
+
+def _blocks(banded: DataFrame) -> DataFrame:
+    """(band, i, j, node, root): every two members of different classes of a band meet in one block (i, j) at least.
+
+    Members of the band's largest class meet only those of others, so a huge class beside few others is no burden.
+    """
+    by_root = banded.groupBy("band", "root").agg(F.count("*").alias("n"))
+    most = F.max(F.struct("n", "root"))
+    sizes = by_root.groupBy("band").agg(most["root"].alias("main"), most["n"].alias("inside"), F.sum("n").alias("n")).where("inside < n")
+    parts = lambda n: F.ceil(n / F.lit(BLOCK_MEMBERS)).cast("int")
+    sizes = sizes.select("band", "main", parts(F.col("n") - F.col("inside")).alias("others"), parts(F.col("inside")).alias("mains"))
+    key = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    is_main = F.col("root") == F.col("main")
+    own = F.pmod(F.xxhash64("node"), F.when(is_main, F.col("mains")).otherwise(F.col("others")))
+    others = F.sequence(F.lit(0), F.col("others") - 1)
+    mains = F.sequence(F.col("others"), F.col("others") + F.col("mains") - 1)
+    as_main = F.transform(others, lambda x: key(x, F.col("others") + F.col("own")))
+    as_other = F.concat(
+        F.transform(others, lambda x: key(F.least(F.col("own"), x.cast("bigint")), F.greatest(F.col("own"), x.cast("bigint")))),
+        F.transform(mains, lambda x: key(F.col("own"), x)),
+    )
+    met = banded.join(sizes, "band").withColumn("own", own)
+    return met.select("band", "node", "root", F.explode(F.when(is_main, as_main).otherwise(as_other)).alias("key")).select("band", "key.i", "key.j", "node", "root")
+
+
+def similar_in_block(texts: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which texts of a block are similar by plain Jaccard, and which others may be by probability Jaccard: two symmetric
+    matrices."""
+    k = len(texts)
+    sets = [np.unique(x, return_counts=True) for x in texts]
+    sizes = np.array([len(h) for h, _ in sets], np.float64)
+    plain = np.array([w.max(initial=1) == 1 for _, w in sets])
+    row = np.repeat(np.arange(k), sizes.astype(np.int64))
+    flat = np.concatenate([h for h, _ in sets])
+    share = np.concatenate([w / w.sum() for _, w in sets])
+    _, column, n = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(n > 1)
+    place = np.full(len(n), -1, np.int64)
+    place[shared] = np.arange(len(shared))
+    column = place[column]
+    both, mass = np.zeros((k, k)), np.zeros((k, k))
+    order = np.argsort(column, kind="stable")
+    cuts = np.searchsorted(column[order], np.arange(0, len(shared) + BLOCK_COLUMNS, BLOCK_COLUMNS))
+    for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        at = order[a:b]
+        has, weight = np.zeros((2, k, BLOCK_COLUMNS), np.float32)
+        has[row[at], column[at] - part * BLOCK_COLUMNS] = 1
+        weight[row[at], column[at] - part * BLOCK_COLUMNS] = share[at]
+        both += has @ has.T
+        mass += weight @ has.T
+    jaccard = both / np.maximum(sizes[:, None] + sizes[None, :] - both, 1)
+    links = jaccard >= threshold
+    # With the shares x and y that two texts have in common, probability Jaccard is at most 1 / (1/x + 1/y - 1): each term of
+    # its sum is at most 1 / (1/a + (1 - y)/b), which is concave and homogeneous in the weights a and b.
+    inverse = 1 / np.maximum(mass, 1e-9)
+    maybe = ~links & (1 / (inverse + inverse.T - 1) >= threshold - 1e-4) & ~(plain[:, None] & plain[None, :])
+    return links, maybe
+
+
+def meet_first(texts: list[np.ndarray], band: int, counts: np.ndarray) -> np.ndarray:
+    """Which texts have no rarer shingle in common than ``band``: a pair is compared in one group only."""
+    often = counts[_slots(np.array([band]))][0]
+    rarer = []
+    for text in texts:
+        n = counts[_slots(text)]
+        rarer.append(np.unique(text[(n < often) | ((n == often) & (text < band))]))
+    flat, row = np.concatenate(rarer), np.repeat(np.arange(len(texts)), [len(r) for r in rarer])
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    first = np.ones((len(texts), len(texts)), bool)
+    cuts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1], [True]])) if len(flat) else np.zeros(1, np.int64)
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b - a > 1:
+            first[np.ix_(row[a:b], row[a:b])] = False
+    return first
+
+
+def _compare(slot_counts: Broadcast, threshold: float):
+    def compare(block: pa.Table) -> pa.Table:
+        names, root = np.unique(np.array(block.column("root").to_pylist(), object), return_inverse=True)
+        out: list[tuple[bytes, bytes]] = []
+        if len(names) > 1:
+            texts = [np.frombuffer(x, "<u4") for x in block.column("shingles").to_pylist()]
+            # Of the links between classes, what joins them up.
+            leader = np.arange(len(names))
+            apart = np.triu(root[:, None] != root[None, :], 1) & meet_first(texts, block.column("band")[0].as_py(), slot_counts.value)
+            links, maybe = similar_in_block(texts, threshold) if apart.any() else (apart, apart)
+            for sure, pairs in ((True, links), (False, maybe)):
+                for i, j in np.argwhere(pairs & apart):
+                    x, y = leader[root[i]], leader[root[j]]
+                    if x != y and (sure or similarity(texts[i], texts[j]) >= threshold):
+                        leader[leader == max(x, y)] = min(x, y)
+                        out.append((names[root[i]], names[root[j]]))
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"ra": pa.array(a, pa.binary()), "rb": pa.array(b, pa.binary())})
+
+    return compare
+
+
+def _joined_up(found: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root) after the classes' roots are linked in turn; classes of one node may be among them."""
+    step = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    moved = found.join(step, F.col("root") == F.col("_node"), "left").select("node", F.coalesce("_root", "root").alias("root"))
+    return moved.unionByName(roots.join(found.select("node"), "node", "left_anti"))
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -175,32 +342,24 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     payload, _ = staged(
         signed.select("node", "shingles").join(banded.select("node").distinct(), "node").groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles"
     )
-    found = None
-    opened = banded.withColumn("root", F.col("node"))
-    for seed in count():
-        pairs = _candidates(opened, seed)
-        with_a = pairs.join(payload.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-        with_both = with_a.join(payload.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").select("ra", "rb", "sa", "sb")
-        links, links_at = staged(with_both.mapInArrow(_verify(threshold), "ra binary, rb binary"), "verified")
-        if links.isEmpty():
-            discard(spark, links_at)
-            break
-        # Classes so far are the nodes now: what is linked stays linked, and the graph gets smaller.
-        roots = components(links.toDF("a", "b"))
-        discard(spark, links_at)
-        if found is None:
-            found = roots
-        else:
-            step = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-            moved = found.join(step, F.col("root") == F.col("_node"), "left").select("node", F.coalesce("_root", "root").alias("root"))
-            # Only composed here, from the rounds' stored tables; it runs once, at the end.
-            found = moved.unionByName(roots.join(found.select("node"), "node", "left_anti"))
-        opened, _ = staged(_still_open(opened, roots), "open")
-    classed = signed.select("doc_id", "row", "node")
-    if found is not None:
-        classed = classed.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    else:
-        classed = classed.withColumn("root", F.col("node"))
+    pairs = _candidates(banded.withColumn("root", F.col("node")))
+    with_a = pairs.join(payload.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    with_both = with_a.join(payload.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").select("ra", "rb", "sa", "sb")
+    links, links_at = staged(with_both.mapInArrow(_verify(threshold), "ra binary, rb binary"), "verified")
+    found = components(links.toDF("a", "b"))
+    discard(spark, links_at)
+    # Classes so far are the nodes now: what is linked stays linked, and the graph gets smaller.
+    opened = _several(_renamed(banded.withColumn("root", F.col("node")), found))
+    rare, slot_counts = _rare_groups(opened, payload, threshold)
+    groups, groups_at = staged(_several(rare), "groups")
+    # A stated number of partitions: blocks are costly for their bytes, so small ones aren't put together.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = _blocks(groups).join(payload, "node").repartition(parts, "band", "i", "j")
+    links, links_at = staged(met.groupBy("band", "i", "j").applyInArrow(_compare(slot_counts, threshold), "ra binary, rb binary"), "verified")
+    found = _joined_up(found, components(links.toDF("a", "b")))
+    discard(spark, links_at)
+    discard(spark, groups_at)
+    classed = signed.select("doc_id", "row", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))).alias("first")
     sizes = classed.groupBy("root").agg(first, F.count("*").alias("class_size"))
     sizes = sizes.select("root", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("class_row"), "class_size")
