@@ -270,6 +270,41 @@ def test_probability_jaccard():
     assert (signs[0] == signs[1]).mean() == pytest.approx(exact, abs=0.015)
 
 
+def test_blocks_of_groups(spark, monkeypatch):
+    """Small blocks: members of different classes meet, also where one class is most of a group."""
+    monkeypatch.setattr(prob_minhash, "BLOCK_MEMBERS", 3)
+    members = [(1, f"{i:02d}".encode(), b"00" if i < 20 else f"{i:02d}".encode()) for i in range(31)] + [(2, b"00", b"00"), (2, b"01", b"00")]
+    blocks = {}
+    for r in prob_minhash._blocks(spark.createDataFrame(members, "band bigint, node binary, root binary")).collect():
+        blocks.setdefault((r.band, r.i, r.j), []).append((bytes(r.node), bytes(r.root)))
+    met = {(a[0], b[0]) for block in blocks.values() for a in block for b in block if a[1] != b[1]}
+    assert met == {(a, b) for band, a, x in members for other, b, y in members if band == other and x != y}
+
+
+def test_similar_in_block():
+    """Plain links are exact, no link by probability Jaccard is missed, and pairs share a rare shingle in one group only."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(60):
+        text = np.arange(40) * 7
+        text[rng.choice(40, rng.integers(0, 9), replace=False)] = rng.integers(1000, 1200)
+        texts.append(np.sort(np.repeat(text, rng.choice([1, 1, 1, 4], 40) if rng.random() < 0.5 else 1)).astype("<u4"))
+    links, maybe = prob_minhash.similar_in_block(texts, 0.8)
+    counts = np.zeros(prob_minhash.RARITY_SLOTS, np.int32)
+    for text in texts:
+        np.add.at(counts, prob_minhash._slots(np.unique(text)), 1)
+    rare = [set(prob_minhash.rarest(text, counts, 0.8).tolist()) for text in texts]
+    first = {band: prob_minhash.meet_first(texts, band, counts) for band in set().union(*rare)}
+    for i in range(60):
+        for j in range(i):
+            a, b = texts[i], texts[j]
+            plain = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+            assert links[i, j] == (plain >= 0.8)
+            if prob_minhash.similarity(a, b) >= 0.8:
+                assert links[i, j] or maybe[i, j]
+                assert sum(first[band][i, j] for band in rare[i] & rare[j]) == 1
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (5, 5), (100, 101)]
     df = spark.createDataFrame(links, "a bigint, b bigint")
