@@ -5,7 +5,8 @@ Column expressions only. A line is what stands between line feeds; a line withou
 * punctuation: it has at least ``min_line_words`` words and no sentence end (``.!?:;`` or an ellipsis, quotes or brackets after
   it allowed) in its last word nor anywhere else in more than one word of ``words_a_stop``;
 * navigation: separator words (``| > / » • - *`` alone) are ``separator_share`` of its words or more, at least two of them;
-* boilerplate: it holds a phrase of ``BOILERPLATE`` (lower case), or symbols ``#*$%&|<>`` at a rate of ``symbol_share`` a word.
+* boilerplate: phrases of ``BOILERPLATE`` (lower case) are ``phrase_share`` of its words or more, or it holds symbols ``#*$%&|<>``
+  at a rate of ``symbol_share`` a word. So a paragraph, or a whole text on one line, isn't lost for a phrase it mentions.
 
 A document is rejected if its words' code points fall below ``keep_share`` of what they were, or if it fails the base
 rules on the whole text (under 10 words; over 20 % of its words in repeated five-word windows). Null text counts as
@@ -18,7 +19,7 @@ million words.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +74,8 @@ def covered(windows: Column) -> Column:
 
 
 def line_fails(
-    line: Column, min_line_words: int = 6, words_a_stop: int = 40, separator_share: float = 0.3, symbol_share: float = 0.5
+    line: Column, min_line_words: int = 6, words_a_stop: int = 40, separator_share: float = 0.3, symbol_share: float = 0.5,
+    phrase_share: float = 0.2,
 ) -> Column:
     """Whether a line fails one of the line rules."""
     # Inside a lambda nothing is computed once for several uses: what decides most lines comes first, word counts last.
@@ -82,10 +84,15 @@ def line_fails(
     separators = F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])[|>/»•*-](?![^\x20\x09-\x0D])"))
     symbols = F.regexp_count(line, F.lit(SYMBOLS))
 
-    def has_phrase(low: Column) -> Column:
-        return reduce(or_, [F.contains(low, F.lit(p)) for p in BOILERPLATE])
+    def phrase_words(low: Column) -> Column:
+        """How many words of the line stand in phrases."""
+        return reduce(add, [(F.length(low) - F.length(F.replace(low, F.lit(p), F.lit("")))) / len(p) * len(p.split()) for p in BOILERPLATE])
 
-    phrase = F.exists(F.array(F.lower(line)), has_phrase)
+    def is_phrases(low: Column) -> Column:
+        # Most lines hold no phrase, and the words aren't counted then.
+        return reduce(or_, [F.contains(low, F.lit(p)) for p in BOILERPLATE]) & (phrase_words(low) >= n * phrase_share)
+
+    phrase = F.exists(F.array(F.lower(line)), is_phrases)
     ends = F.regexp_like(line, F.lit(STOP + r"[\x20\x09-\x0D]*$"))
     no_punctuation = ~ends & (n >= min_line_words) & (stops * words_a_stop < n)
     navigation = (separators >= 2) & (separators >= n * separator_share)

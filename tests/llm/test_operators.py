@@ -167,6 +167,18 @@ def test_line_cleaning(odd_docs, small_docs):
     assert got[1].kept and got[1].clean_text == f"{prose}\n{more}" and not got[2].kept and not got[2].base_failed
 
 
+def test_phrases_in_long_lines(spark):
+    """A phrase fails a line of which it is a good part, not a long one that mentions it."""
+    paragraph = " ".join(f"Sentence {k} of this page is about subject {k * 7} and ends." for k in range(40))
+    mention = "The ministry changed its privacy policy after long talks with every party to the case. "
+    whole = " ".join(f"w{k}." for k in range(20_000)) + " All rights reserved."
+    notices = "Copyright 2020 by the owner. All rights reserved.\nSee our Privacy Policy and Terms of Use."
+    docs = [(1, whole), (2, f"{paragraph}\n{mention}{paragraph}"), (3, f"{paragraph}\n{notices}"), (4, f"{paragraph}\n{mention}")]
+    got = {r.doc_id: r for r in line_cleaning.clean_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got[1].kept and all(got[k].clean_text == text for k, text in docs if k != 3)
+    assert got[3].clean_text == paragraph
+
+
 def test_huffman(spark, odd_docs, tmp_path):
     rng = np.random.default_rng(2)
     counts = (rng.pareto(0.3, 3000) * 10).astype(np.int64) % 10**12
