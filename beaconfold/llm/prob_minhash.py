@@ -3,8 +3,9 @@
 A document's shingles (five words) weigh as often as they occur. Each shingle is a Poisson process with its weight as
 rate; an arrival goes to one random register, which keeps the earliest. A shingle stops when its next arrival is later
 than all registers. Two documents share a register's winner with the probability Jaccard similarity of their weights.
-Registers make bands; documents that share a band are candidates, and a candidate pair is a link if the exact
-similarity of its shingles, probability Jaccard or plain Jaccard, is ``threshold`` or more. Classes are the connected
+A text with repeated shingles is signed once more with all weights 1, for which that is plain Jaccard; without repeats
+both signatures are the same one. Registers make bands, the same for both kinds; documents that share a band are candidates, and a
+candidate pair is a link if the exact similarity of its shingles, probability Jaccard or plain Jaccard, is ``threshold`` or more. Classes are the connected
 components of the links.
 
 Texts with the same words are one text from the start: one signature stands for all copies, and a class row is given
@@ -88,6 +89,15 @@ def prob_minhash(shingles: list[np.ndarray], registers: int) -> np.ndarray:
     return winners.reshape(-1, registers)
 
 
+def band_keys(shingles: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
+    """A row of band keys for each text: each from ``rows`` registers' winners and the band's number."""
+    winners = prob_minhash(shingles, bands * rows)
+    keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(shingles), 1))
+    for r in range(rows):
+        keys = mix(keys + winners[:, r::rows])
+    return keys
+
+
 def _signer(bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,17 +106,18 @@ def _signer(bands: int, rows: int):
                 lo = bounds[first]
                 words, ends = word_hashes(data[lo : bounds[last]], bounds[first : last + 1] - lo)
                 shingles = shingle_hashes(words, ends)
-                winners = prob_minhash(shingles, bands * rows)
-                keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(shingles), 1))
-                for r in range(rows):
-                    keys = mix(keys + winners[:, r::rows])
-                full = [len(s) > 0 for s in shingles]
+                keys = [[k] if len(s) else [] for s, k in zip(shingles, band_keys(shingles, bands, rows), strict=True)]
+                distinct = [np.unique(s) for s in shingles]
+                repeated = [i for i, s in enumerate(shingles) if len(distinct[i]) < len(s)]
+                if repeated:
+                    for i, k in zip(repeated, band_keys([distinct[i] for i in repeated], bands, rows), strict=True):
+                        keys[i].append(k)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id")[first:last],
                         batch.column("row")[first:last],
                         pa.array([blake2b(words[a:b].tobytes(), digest_size=16).digest() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
-                        pa.array([k.view(np.int64) if f else [] for k, f in zip(keys, full, strict=True)], pa.list_(pa.int64())),
+                        pa.array([np.unique(np.concatenate(k)).view(np.int64) if k else [] for k in keys], pa.list_(pa.int64())),
                         pa.array([(s >> np.uint64(32)).astype("<u4").tobytes() for s in shingles], pa.binary()),
                     ],
                     ["doc_id", "row", "node", "bands", "shingles"],

@@ -282,6 +282,16 @@ def test_probability_jaccard():
     assert (signs[0] == signs[1]).mean() == pytest.approx(exact, abs=0.015)
 
 
+def test_near_copies_by_plain_jaccard(spark):
+    """Copies that differ in how often a passage occurs are alike by plain Jaccard only, and share bands too."""
+    rows = []
+    for k in range(12):
+        words = [f"d{k}w{i}" for i in range(200)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + words[:40] * 20))]
+    got = {r.doc_id: r.class_id for r in prob_minhash.near_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: i // 2 * 2 for i in range(24)}
+
+
 def test_blocks_of_groups(spark, monkeypatch):
     """Small blocks: members of different classes meet, also where one class is most of a group."""
     monkeypatch.setattr(prob_minhash, "BLOCK_MEMBERS", 3)
