@@ -6,8 +6,10 @@ characters, smoothed by interpolation: after a context seen n times with t diffe
 the difference of the models' log-likelihoods a character. One in ``FOLDS`` of the labelled URLs is held out of the counts, and
 the threshold is the score that separates those best (mean of both classes' hit rates; the one nearest 0 of equals).
 
-N-grams are counted exactly over all labelled URLs in Spark. For scoring, counts are added up in ``SLOTS`` hashed slots per
-order and model, so a model has a fixed size whatever the corpus; n-grams that meet in a slot share its count.
+N-grams are counted exactly over all labelled URLs in Spark, and scores are taken from those counts as they are: rows make parts
+of bounded size, each part asks once for the distinct contexts and n-grams of its URLs, and the counts are joined and brought
+back to it. So no task holds a model, and what is moved grows with the input, an n-gram in all URLs being one row a part.
+N-grams are told apart by 64-bit hashes.
 
 Defined results: a null URL or one without ``://`` has empty host and path, fits no rule and is scored as it stands (null as
 empty); an empty text scores 0; without labelled URLs of both kinds every score and the threshold are 0; a
@@ -31,13 +33,14 @@ from beaconfold.llm.hashing import mix, text_bytes
 #: Fixed rules (host and path, verdict).
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 ORDER = 5
-SLOTS = 1 << 18
 ALPHABET = 256
 FOLDS = 5
 BINS = 4000
 SPAN = 10.0
 #: N-grams a task holds before it hands its counts on.
 FLUSH = 200_000
+#: Rows of a part are at most two to this power.
+PART_BITS = 14
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -100,53 +103,67 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-class RatioModel:
-    """Both models' slot tables: [model, order, slot] of followers' counts, contexts' counts and contexts' followers."""
+def train(labelled: DataFrame) -> DataFrame:
+    """``labelled``: scored (text), good. (key, good_n, good_kinds, bad_n, bad_kinds) of every context and n-gram; an n-gram has no kinds."""
+    counted = labelled.mapInArrow(_count, "good boolean, k int, context bigint, gram bigint, n bigint")
+    grams, _ = staged(counted.groupBy("good", "k", "context", "gram").agg(F.sum("n").alias("n")), "grams")
 
-    def __init__(self) -> None:
-        self.gram = np.zeros((2, ORDER, SLOTS), np.float32)
-        self.total = np.zeros((2, ORDER, SLOTS), np.float32)
-        self.kinds = np.zeros((2, ORDER, SLOTS), np.float32)
+    def facts(key: str, kinds: int) -> DataFrame:
+        def of(good: bool, count: Column) -> Column:
+            return F.sum(F.when(F.col("good") == good, count).otherwise(0))
+
+        n, one = F.col("n"), F.lit(kinds)
+        sums = [of(True, n).alias("good_n"), of(True, one).alias("good_kinds"), of(False, n).alias("bad_n"), of(False, one).alias("bad_kinds")]
+        return grams.groupBy(F.col(key).alias("key")).agg(*sums)
+
+    return facts("context", 1).unionByName(facts("gram", 0))
+
+
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, key): the contexts and n-grams of each part's texts, once for each batch."""
+    for batch in batches:
+        data, bounds = text_bytes(batch.column("scored"))
+        part = batch.column("part").to_numpy()
+        at = np.repeat(part, np.diff(bounds))
+        keys = [(context, gram) for _, context, gram in _grams(data, bounds, ORDER)]
+        for one in np.unique(part):
+            of = at == one
+            asked = np.unique(np.concatenate([x[of] for pair in keys for x in pair]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(asked), one)), pa.array(asked.view(np.int64))], ["part", "key"])
 
-    def score(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Each text's log-likelihood difference a byte."""
-        p = [np.full(len(data), 1.0 / ALPHABET), np.full(len(data), 1.0 / ALPHABET)]
-        for k, context, gram in _grams(data, bounds, ORDER):
-            c, g = ((x % np.uint64(SLOTS)).astype(np.int64) for x in (context, gram))
-            for m in (0, 1):
-                n, t = self.total[m, k, c].astype(np.float64), self.kinds[m, k, c].astype(np.float64)
-                seen = np.minimum(self.gram[m, k, g].astype(np.float64), n)
-                p[m] = np.where(n > 0, (seen + t * p[m]) / np.maximum(n + t, 1), p[m])
-        sums = np.concatenate([[0.0], np.cumsum(np.log(p[1]) - np.log(p[0]))])
-        return (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(1, np.diff(bounds))
 
+def _scores(data: np.ndarray, bounds: np.ndarray, keys: np.ndarray, counts: list[list[np.ndarray]]) -> np.ndarray:
+    """Each text's log-likelihood difference a byte. ``keys`` are sorted; ``counts`` has for each model, bad and good, how often
+    each key occurs and how many followers it has."""
+    p = [np.full(len(data), 1.0 / ALPHABET), np.full(len(data), 1.0 / ALPHABET)]
 
-def train(labelled: DataFrame) -> RatioModel:
-    """``labelled``: scored (text), good. Counts in Spark; what comes to the driver is bounded by the slots."""
-    grams, _ = staged(
-        labelled.mapInArrow(_count, "good boolean, k int, context bigint, gram bigint, n bigint").groupBy("good", "k", "context", "gram").agg(F.sum("n").alias("n")),
-        "grams",
-    )
+    def places(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return at, keys[at] == wanted
 
-    def slot(c):
-        # The unsigned remainder, as numpy takes it.
-        return F.pmod(F.col(c), F.lit(SLOTS)).cast("int")
+    for _, context, gram in _grams(data, bounds, ORDER) if len(keys) else ():
+        (c, has_c), (g, has_g) = places(context), places(gram)
+        for m, (times, kinds) in enumerate(counts):
+            n, t = times[c] * has_c, kinds[c] * has_c
+            p[m] = np.where(n > 0, (times[g] * has_g + t * p[m]) / np.maximum(n + t, 1), p[m])
+    sums = np.concatenate([[0.0], np.cumsum(np.log(p[1]) - np.log(p[0]))])
+    return (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(1, np.diff(bounds))
 
-    by_gram = grams.groupBy("good", "k", slot("gram").alias("slot")).agg(F.sum("n").alias("n")).toPandas()
-    by_context = grams.groupBy("good", "k", slot("context").alias("slot")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas()
-    model = RatioModel()
-    for frame, out, column in ((by_gram, model.gram, "n"), (by_context, model.total, "n"), (by_context, model.kinds, "kinds")):
-        out[frame["good"].astype(int), frame["k"], frame["slot"]] = frame[column]
-    return model
 
+def _score_part(rows: pa.Table, facts: pa.Table) -> pa.Table:
+    key = facts.column("key").to_numpy().view(np.uint64)
+    keys, first = np.unique(key, return_index=True)
+    counts = [[facts.column(f"{m}_{c}").to_numpy()[first].astype(np.float64) for c in ("n", "kinds")] for m in ("bad", "good")]
+    scores = _scores(*text_bytes(rows.column("scored").combine_chunks()), keys, counts)
+    return rows.append_column("score", pa.array(scores, pa.float64()))
 
-def _scorer(model):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = model.value.score(*text_bytes(batch.column("scored")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "score"])
 
-    return score
+def score_urls(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """``rows`` (scored, part and any others) with score."""
+    asked = rows.select("scored", "part").mapInArrow(_ask, "part bigint, key bigint").distinct()
+    known = asked.join(facts, "key")
+    fields = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
+    return rows.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(_score_part, fields)
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -167,20 +184,18 @@ def calibrate(scored: DataFrame) -> float:
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """``pages`` (url and any others) with host, path, rule, score and verdict."""
-    spark = pages.sparkSession
     host, path = host_and_path(F.col("url"))
     at = F.instr(F.col("url"), "://")
     scored = F.coalesce(F.when(at > 0, F.substr(F.col("url"), at + 3)).otherwise(F.col("url")), F.lit(""))
     ruled = pages.withColumns({"host": host, "path": path}).withColumn("_ruled", fitting_rule(F.col("host"), F.col("path"), rules))
-    labelled = ruled.where("_ruled.verdict IS NOT NULL").select(
-        scored.alias("scored"), (F.col("_ruled.verdict") == "allow").alias("good"), F.pmod(F.xxhash64(F.lit(11), "url"), F.lit(FOLDS)).alias("fold")
-    )
-    model = spark.sparkContext.broadcast(train(labelled.where("fold > 0").select("scored", "good")))
-    held_out = labelled.where("fold = 0").select("scored", "good").mapInArrow(_scorer(model), "scored string, good boolean, score double")
-    threshold = calibrate(held_out)
-    every = ruled.withColumn("scored", scored)
-    fields = T.StructType([*every.schema.fields, T.StructField("score", T.DoubleType())])
-    judged = every.mapInArrow(_scorer(model), fields)
+    fold = F.pmod(F.xxhash64(F.lit(11), "url"), F.lit(FOLDS))
+    # Written, so that a row's part is the same whenever it is read.
+    part = F.shiftright(F.monotonically_increasing_id(), PART_BITS)
+    every, _ = staged(ruled.withColumns({"scored": scored, "fold": fold, "part": part}), "urls")
+    good = (F.col("_ruled.verdict") == "allow").alias("good")
+    labelled = every.where("_ruled.verdict IS NOT NULL")
+    judged, _ = staged(score_urls(every, train(labelled.where("fold > 0").select("scored", good))), "scored")
+    threshold = calibrate(judged.where("_ruled.verdict IS NOT NULL AND fold = 0").select("score", good))
     method = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return judged.select(*pages.columns, "host", "path", F.col("_ruled.rule").alias("rule"), "score", F.coalesce("_ruled.verdict", method).alias("verdict"))
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -55,6 +56,35 @@ def near_classes(texts, threshold=0.8):
     return [root(i) for i in range(len(texts))]
 
 
+def url_scores(texts, good, bad, order=5):
+    """Each text's score by exact counts in plain dictionaries."""
+
+    def places(text):
+        b = text.encode()
+        return [[((None,) * order + tuple(b))[k + order - j : k + order + 1] for j in range(order)] for k in range(len(b))]
+
+    def model(of):
+        times, followers = Counter(), defaultdict(Counter)
+        for text in of:
+            for grams in places(text):
+                for gram in grams:
+                    times[gram] += 1
+                    followers[len(gram), gram[:-1]][gram[-1]] += 1
+        return times, followers
+
+    def chance(grams, times, followers):
+        p = 1 / 256
+        for gram in grams:
+            seen = followers.get((len(gram), gram[:-1]))
+            if seen:
+                p = (times[gram] + len(seen) * p) / (seen.total() + len(seen))
+        return p
+
+    models = model(bad), model(good)
+    logs = [[math.log(chance(g, *models[1])) - math.log(chance(g, *models[0])) for g in places(t)] for t in texts]
+    return [sum(x) / max(1, len(x)) for x in logs]
+
+
 def remove_repeats(texts, match):
     data = [(t or "").encode() for t in texts]
     times = Counter(b[k : k + match] for b in data for k in range(len(b) - match + 1))

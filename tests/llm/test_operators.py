@@ -82,6 +82,22 @@ def test_url_rules_and_model(spark):
     assert all((r.score > 0) == (r.page_id % 2 == 1) for r in judged.collect())
 
 
+def test_url_scores_are_exact(spark, monkeypatch):
+    """Scores are those of exact counts, whatever the number of n-grams, over several parts and with texts of odd bytes."""
+    monkeypatch.setattr(url_filter, "PART_BITS", 4)
+    rng = np.random.default_rng(6)
+    name = lambda: "".join(map(chr, rng.integers(97, 123, 12)))
+    urls = [f"http://{name()}.org/{('fr', 'xx', 'yy')[i % 3]}/{name()}?{rng.integers(10**9)}" for i in range(600)] + [None, "", "http://\u00e9\u4e2d.org/q", "http://x.org/fr/same"] + ["http://x.org/fr/same"] * 40
+    rules = (("org/fr/", "allow"), ("org/xx/", "block"))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    fold = {r.page_id for r in pages.where("pmod(xxhash64(11, url), 5) > 0").collect()}
+    texts = [(u or "").split("://")[-1] for u in urls]
+    used = lambda folder: [t for i, t in enumerate(texts) if i in fold and f".org/{folder}/" in t]
+    want = brute.url_scores(texts, used("fr"), used("xx"))
+    got = {r.page_id: r.score for r in url_filter.judge_urls(pages, rules=rules).collect()}
+    assert len(got) == len(urls) and [got[i] for i in range(len(urls))] == pytest.approx(want, abs=1e-9)
+
+
 @pytest.mark.parametrize("table", ["odd", "small"])
 def test_suffix_dedup(odd_docs, small_docs, table):
     docs = (odd_docs if table == "odd" else small_docs).select("doc_id", "text")
