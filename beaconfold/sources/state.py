@@ -106,6 +106,6 @@ def save_state(records: DataFrame, path: str) -> None:
     """Set state records; others stay."""
 
     def change(state: DataFrame) -> DataFrame:
-        return state.join(records, "stateKey", "left_anti").unionByName(records.select("stateKey", "value")).coalesce(1)
+        return state.join(records, "stateKey", "left_anti").unionByName(records.select("stateKey", "value"))
 
     update_snapshot(records.sparkSession, path, change, STATE)
