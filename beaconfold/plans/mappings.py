@@ -21,11 +21,11 @@ from beaconfold.operators.files import (
 from beaconfold.operators.names import incoming_names, merge_names
 from beaconfold.profiles import PartnerProfile
 from beaconfold.schemas import DATED_FILE_PATTERN, NAME_TABLE
-from beaconfold.sinks.tables import write_notices, write_pairs
+from beaconfold.sinks.tables import write_pairs
 from beaconfold.sources.events import day_events
 from beaconfold.sources.files import exact_paths, list_files, read_name_rows, read_pairs
 from beaconfold.sources.scratch import shared_dir
-from beaconfold.sources.state import read_snapshot, read_state, save_state, update_snapshot
+from beaconfold.sources.state import SnapshotConflict, deliver, read_state, save_state, snapshot_version, update_snapshot
 
 # The name feeds of a partner, reference table -> file name prefix.
 NAME_FEEDS = {
@@ -61,18 +61,19 @@ def update_campaigns(
 ) -> bool:
     """Apply one day's extracted pairs to the campaign table; False if nothing was extracted.
 
-    The classification feeds both the next snapshot and the exceptions report. It is small
-    next to the events, so it is computed from the extracted pairs for each.
+    The classification feeds both the next snapshot and the exceptions report: each attempt writes down its pairs' classes
+    against its own base once, and the commit carries the report along. So whatever else is written meanwhile, the report
+    is that of the committed table. A run that dies after its commit has its report delivered by the next one.
     """
+    deliver(spark, campaigns_root)
     pairs = read_pairs(spark, pairs_root, data_date)
     if pairs.isEmpty():
         return False
     source_id = profile.measurement_source_id
-    campaigns = read_snapshot(spark, campaigns_root)
-    write_notices(mapping_exceptions(classify_pairs(pairs, entities, campaigns, source_id)), exceptions_path)
 
-    def apply(base: DataFrame) -> DataFrame:
-        return apply_pairs(base, classify_pairs(pairs, entities, base, source_id), source_id)
+    def apply(base: DataFrame) -> tuple[DataFrame, tuple[DataFrame, str]]:
+        classified = _fixed(classify_pairs(pairs, entities, base, source_id), "classified-pairs")
+        return apply_pairs(base, classified, source_id), (mapping_exceptions(classified), exceptions_path)
 
     update_snapshot(spark, campaigns_root, apply)
     return True
@@ -99,7 +100,7 @@ def update_names(
     """
     state_key = name_state_key(table, source_id)
     listing = list_files(spark, files_dir, name_prefix).withColumn("stateKey", state_key)
-    state = read_state(spark, state_path).where(F.col("stateKey") == state_key)
+    state = read_state(spark, state_path, f"name_mappings.{table}.").where(F.col("stateKey") == state_key)
     selected = _fixed(select_latest_files(listing, state, pattern), "selected-names")
     keys = [r["key"] for r in selected.select("key").toLocalIterator()]
     if not keys:
@@ -113,7 +114,7 @@ def update_names(
 
 
 def _fixed(selection: DataFrame, name: str) -> DataFrame:
-    """A selection of files written to the shared folder, so that later listings don't change it."""
+    """A selection written to the shared folder, so that later listings or versions don't change it."""
     spark = selection.sparkSession
     path = shared_dir(spark, name)
     selection.write.parquet(path)
@@ -129,15 +130,27 @@ def notify_new_files(
     state_path: str,
     client_id: str,
     notices_path: str,
+    attempts: int = 5,
 ) -> bool:
     """Write a load notice for each new or changed file; False if there are none.
 
-    Notices go out before state is saved, so a file is announced at least once.
+    Notices are carried by the commit of the state version that remembers their files, and are derived from the version before: of two
+    runs at once one commits, and the other looks again, so each change is announced by one run. A run that dies after
+    its commit has its notices delivered by the next one, to the same path: at least once.
     """
+    deliver(spark, state_path)
     listing = list_files(spark, files_dir, name_prefix)
-    new = _fixed(detect_new_files(listing, read_state(spark, state_path), files_type), "selected-files")
-    if new.isEmpty():
-        return False
-    write_notices(load_manifest(new, client_id, F.col("key")), notices_path)
-    save_state(processed_file_state(new), state_path)
-    return True
+    for attempt in range(attempts):
+        base = snapshot_version(spark, state_path)
+        try:
+            known = read_state(spark, state_path, f"{files_type}.", version=base)
+            new = _fixed(detect_new_files(listing, known, files_type), "selected-files")
+            if new.isEmpty():
+                return False
+            notices = load_manifest(new, client_id, F.col("key"))
+            save_state(processed_file_state(new), state_path, (notices, notices_path), base)
+            return True
+        except SnapshotConflict:
+            if attempt + 1 == attempts:
+                raise
+    raise AssertionError("unreachable")

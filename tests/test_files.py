@@ -312,7 +312,11 @@ def test_state_records_override(spark, tmp_path):
 
 def test_large_state_is_written_by_many_tasks(spark, tmp_path):
     keys = spark.range(0, 1000, 1, 4).selectExpr("cast(id AS string) AS stateKey", "'1' AS value")
-    save_state(keys, str(tmp_path / "s"))
-    assert len(list((tmp_path / "s").glob("snapshot=1-*/part-*.parquet"))) > 1
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    try:
+        save_state(keys, str(tmp_path / "s"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "s").glob("segment-*/part-*.parquet"))) > 1
     save_state(keys.where("stateKey < '5'").withColumn("value", F.lit("2")), str(tmp_path / "s"))
     assert {tuple(r) for r in read_state(spark, str(tmp_path / "s")).collect()} == {(str(k), "2" if str(k) < "5" else "1") for k in range(1000)}
