@@ -42,9 +42,9 @@ ANCHORS = {
     "es": "el los las una es era del que en por con se".split(),
 }
 CHAIN, STRIDE = 2, 1
-STRETCH, LONG_WORD = 4 << 20, 1 << 20
-#: Bytes of text that are fingerprinted at a time.
-GROUP = 8 << 20
+STRETCH, LONG_WORD = 256 << 10, 64 << 10
+#: Characters of text that are fingerprinted at a time, and rows that become Python objects at a time.
+GROUP, ROWS = 2 << 20, 500
 FOUND = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 _WORD = np.zeros(256, bool)
@@ -161,7 +161,8 @@ def from_hex(text: str) -> np.ndarray:
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for whole, at in ((b, k) for b in batches for k in range(0, len(b), ROWS)):
+        batch = whole.slice(at, ROWS)
         texts = batch.column("text").to_pylist()
         first = 0
         while first < len(texts):
@@ -235,13 +236,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     size = 0
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("part", "last", "doc_id", "text", "times"))
-        for row in zip(*columns, strict=True):
-            held.append(row)
-            size += len(row[3])
-            if size > GROUP and len(held) > 1:
-                yield from _batches(_compared(held))
-                held, size = held[-1:], len(held[-1][3])
+        for first in range(0, len(batch), ROWS):
+            part = batch.slice(first, ROWS)
+            for row in zip(*(part.column(c).to_pylist() for c in ("part", "last", "doc_id", "text", "times")), strict=True):
+                held.append(row)
+                size += len(row[3])
+                if size > GROUP and len(held) > 1:
+                    yield from _batches(_compared(held))
+                    held, size = held[-1:], len(held[-1][3])
     if held:
         yield from _batches(_compared(held))
 
