@@ -111,6 +111,17 @@ def raw_events(spark: SparkSession, sf_dir: str, timestamp: str = "s1") -> DataF
     )
 
 
+def one_large_session(raw: DataFrame) -> DataFrame:
+    """The events with a third of all orders in one session, which is then ordered by event and order."""
+    k = F.col("impressionid").cast("bigint")
+    return raw.withColumns(
+        {
+            "impressionid": F.when(k % 3 == 0, "0").otherwise(F.col("impressionid")),
+            "event_seq": F.col("event_seq") * 10_000_000 + k,
+        }
+    )
+
+
 # ---- reference tables -------------------------------------------------------------------
 
 CAMPAIGN_SOURCE = 10
@@ -253,6 +264,11 @@ def count_file_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def yearly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per year: (year, orders)."""
+    return table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("orders"))
+
+
 # ---- hours ------------------------------------------------------------------------------
 
 

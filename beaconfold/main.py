@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from beaconfold.functions.calendar import day_hours, utc_offset_seconds  # noqa: E402
+from beaconfold.functions.calendar import day_hours, utc_offset_seconds, utc_windows  # noqa: E402
 from beaconfold.plans.mappings import (  # noqa: E402
     NAME_FEEDS,
     extract_campaigns,
@@ -153,7 +153,7 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> None:
         elif args.job == "mart":
             build_mart(spark, profile, warehouse, args.data_date)
         elif args.job == "campaign-pairs":
-            raw = raw_source(spark, profile, warehouse)
+            raw = raw_source(spark, profile, warehouse, [d for d, _, _ in utc_windows(args.data_date, offset, hours)])
             extract_campaigns(raw, profile, args.data_date, f"{args.pairs_root}/{profile.name}", offset, hours)
         elif args.job == "campaigns":
             update_campaigns(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from beaconfold.functions.calendar import expected_hours
@@ -21,20 +21,23 @@ def missing_source_hours(dates: DataFrame, present: DataFrame, **day: object) ->
     )
 
 
-def partitions_to_register(dates: DataFrame, existing: DataFrame, location: Column | str, by_hour: bool) -> DataFrame:
-    """Catalog partitions to add for each ``estdate`` (``yyyyMMdd`` text): (estdate[, esthour], location).
+def day_partitions(dates: DataFrame, day_path: Column, by_hour: bool) -> DataFrame:
+    """The catalog partitions of each ``estdate`` (``yyyyMMdd`` text) and where they belong: (estdate[, esthour], location).
 
     With ``by_hour`` all 24 hours of a date are wanted, whether they hold data or not.
     """
+    if not by_hour:
+        return dates.select("estdate", day_path.alias("location"))
+    hours = F.array(*[F.lit(f"{h:02d}") for h in range(24)])
+    each = dates.select("estdate", day_path.alias("_day"), F.explode(hours).alias("esthour"))
+    return each.select("estdate", "esthour", F.concat("_day", F.lit("/hour="), F.col("esthour")).alias("location"))
+
+
+def partitions_to_register(dates: DataFrame, existing: DataFrame, location: Column | str, by_hour: bool) -> DataFrame:
+    """Catalog partitions to add for each ``estdate`` in the layout ``date=…[/hour=…]`` below a location."""
     location = F.lit(location) if isinstance(location, str) else location
-    wanted, path = dates, F.concat(location, F.lit("date="), F.col("estdate"))
-    keys = ["estdate"]
-    if by_hour:
-        hours = F.array(*[F.lit(f"{h:02d}") for h in range(24)])
-        wanted = dates.withColumn("esthour", F.explode(hours))
-        path = F.concat(path, F.lit("/hour="), F.col("esthour"))
-        keys = ["estdate", "esthour"]
-    return wanted.join(existing, keys, "left_anti").select(*keys, path.alias("location"))
+    wanted = day_partitions(dates, F.concat(location, F.lit("date="), F.col("estdate")), by_hour)
+    return wanted.join(existing, [c for c in wanted.columns if c != "location"], "left_anti").select(wanted.columns)
 
 
 def expired_partitions(dates: DataFrame, as_of: Column, keep_days: Mapping[str, int]) -> DataFrame:
@@ -59,6 +62,10 @@ def table_partitions(spark: SparkSession, table: str, of: tuple[str, str] | None
     return listed.select(*[F.regexp_extract("partition", rf"(?:^|/){k}=([^/]*)", 1).alias(k) for k in keys])
 
 
+def _partition(row: Row, keys: Sequence[str]) -> str:
+    return "PARTITION (" + ", ".join(f"{k} = {_text(row[k])}" for k in keys) + ")"
+
+
 def register_partitions(spark: SparkSession, table: str, plan: DataFrame) -> int:
     """Add planned partitions to the catalog; those it already has are left alone.
 
@@ -67,9 +74,17 @@ def register_partitions(spark: SparkSession, table: str, plan: DataFrame) -> int
     keys = [c for c in plan.columns if c != "location"]
     rows = plan.collect()
     if rows:
-        parts = " ".join(
-            "PARTITION (" + ", ".join(f"{k} = {_text(row[k])}" for k in keys) + f") LOCATION {_text(row['location'])}"
-            for row in rows
-        )
+        parts = " ".join(f"{_partition(row, keys)} LOCATION {_text(row['location'])}" for row in rows)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
     return len(rows)
+
+
+def move_partitions(spark: SparkSession, table: str, plan: DataFrame) -> None:
+    """Point partitions the catalog has to other locations, one after another.
+
+    The plan has one row per date or hour of a rewritten day. A reader in between meets some hours of the old version, which is
+    kept, and some of the new one, each of them whole.
+    """
+    keys = [c for c in plan.columns if c != "location"]
+    for row in plan.collect():
+        spark.sql(f"ALTER TABLE {table} {_partition(row, keys)} SET LOCATION {_text(row['location'])}")

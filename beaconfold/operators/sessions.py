@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconfold.functions.expressions import first_where, literal, local_hour, nodash
-from beaconfold.operators.events import dedupe_events, hot_buckets, split_hot
+from beaconfold.operators.events import dedupe_events, hot_buckets, with_salt
 from beaconfold.profiles import PartnerProfile
 from beaconfold.schemas import EVENT_TYPES, FRAUD_CATEGORIES, SESSION_DATA, SESSIONS
 from beaconfold.sources.events import ORDER
@@ -107,17 +107,32 @@ FACTS: dict[str, Fact] = {
 }
 
 
+#: Columns by which events of one key are told apart where a profile has no order of its own: the same for any set of facts.
+TIE_COLUMNS = tuple(sorted({c for fact in FACTS.values() for c in fact.inputs}))
+
+
 def fold_events(
-    events: DataFrame, profile: PartnerProfile, facts: Iterable[str] = tuple(FACTS), *, impressions_only: bool = True
+    events: DataFrame,
+    profile: PartnerProfile,
+    facts: Iterable[str] = tuple(FACTS),
+    *,
+    impressions_only: bool = True,
+    also_by: Iterable[str] = (),
 ) -> DataFrame:
-    """Aggregate deduplicated events to one row of facts per session."""
+    """Aggregate deduplicated events to one row of facts per session.
+
+    Without an order column, events come by timestamp and then by type: no two that are left share both.
+    """
     wanted = {"_has_impression": FACTS["saw_impression"], **{name: FACTS[name] for name in facts}}
+    if ORDER not in events.columns:
+        told_apart = [c for c in profile.dedupe_keys if c not in profile.session_keys]
+        events = events.withColumn(ORDER, F.struct(*sorted(told_apart, key=lambda c: (c != "timestamp", c))))
     folded = (
         events.selectExpr("*", _event_bit(profile))
-        .groupBy(*profile.session_keys)
+        .groupBy(*profile.session_keys, *also_by)
         .agg(*[F.expr(f"{fact.sql} AS {name}") for name, fact in wanted.items()])
     )
-    return (folded.where("_has_impression") if impressions_only else folded).drop("_has_impression")
+    return (folded.where("_has_impression") if impressions_only else folded).drop("_has_impression", *also_by)
 
 
 def session_facts(
@@ -133,26 +148,34 @@ def session_facts(
 
     Ordinary sessions are brought together by their key once; that one shuffle and sort
     serve both the dedupe and the fold. Sessions too large for one task (see
-    :func:`hot_buckets`; pass ``hot`` to reuse a set found earlier) take another way with the
-    same result: copies are dropped and facts are pre-aggregated in the map tasks of two
-    shuffles, so no task receives a whole session. With no such session, adaptive execution
-    drops that branch before it starts.
+    :func:`hot_buckets`; pass ``hot`` to reuse a set found earlier, a bounded number of buckets) have their events dealt by key and salt in that
+    same shuffle. Copies collapse per session and salt; what is left of large sessions goes on to another
+    dedupe and a fold whose map tasks pre-aggregate, so no task receives a whole one. The events are read once: both
+    routes begin behind the one shuffle.
     """
     facts = tuple(facts)
-    wanted = {c for f in (*facts, "saw_impression") for c in FACTS[f].inputs}
     keys = list(profile.session_keys)
     # Session keys lead, so the sort for the dedupe also serves the fold.
     dedupe_keys = keys + [c for c in profile.dedupe_keys if c not in keys]
-    events = events.select(dedupe_keys + [ORDER] + sorted(wanted - set(dedupe_keys)))
-
-    if hot is None:
-        hot = hot_buckets(events, keys, hot_session_events)
-    ordinary, oversized = split_hot(events, hot, keys)
-
-    def fold(part: DataFrame) -> DataFrame:
-        return fold_events(dedupe_events(part, dedupe_keys), profile, facts, impressions_only=impressions_only)
-
-    return fold(ordinary.repartition(*keys)).unionByName(fold(oversized))
+    if ORDER in events.columns:
+        payload = [ORDER, *sorted({c for f in (*facts, "saw_impression") for c in FACTS[f].inputs})]
+    else:
+        payload = list(TIE_COLUMNS)
+    events = events.select(dedupe_keys + [c for c in payload if c not in dedupe_keys])
+
+    found = hot_buckets(events, keys, hot_session_events) if hot is None else hot
+    buckets = sorted(r["_bucket"] for r in found.collect())
+
+    def fold(part: DataFrame, also_by: Iterable[str] = ()) -> DataFrame:
+        return fold_events(part, profile, facts, impressions_only=impressions_only, also_by=also_by)
+
+    if not buckets:
+        return fold(dedupe_events(events.repartition(*keys), dedupe_keys))
+    salted = with_salt(events, buckets, keys).repartition(*keys, "_salt")
+    # The route is an aggregate and not the salt itself: a filter on it stays behind the shuffle, which both routes share.
+    collapsed = dedupe_events(salted.withColumn("_route", F.col("_salt")), [*keys, "_salt", *dedupe_keys[len(keys) :]])
+    ordinary, oversized = collapsed.where("_route = 0"), collapsed.where("_route > 0").drop("_salt", "_route")
+    return fold(ordinary.drop("_route"), ["_salt"]).unionByName(fold(dedupe_events(oversized, dedupe_keys)))
 
 
 @dataclass(frozen=True)

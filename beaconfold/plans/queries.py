@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconfold import fixtures as fx
 from beaconfold.functions.calendar import day_windows
-from beaconfold.functions.expressions import flag_count, local_hour
+from beaconfold.functions.expressions import flag_count, local_hour, nodash
 from beaconfold.operators import campaigns as cm
 from beaconfold.operators import files as fl
 from beaconfold.operators import names as nm
@@ -19,15 +21,15 @@ from beaconfold.operators import partitions as pt
 from beaconfold.operators.events import dedupe_events
 from beaconfold.operators.mart import daily_mart
 from beaconfold.operators.sessions import RULES, ad_sessions, rule_columns, session_facts
-from beaconfold.plans.mappings import update_names
-from beaconfold.plans.viewability import Warehouse, run_day
+from beaconfold.plans.mappings import extract_campaigns, notify_new_files, update_campaigns, update_names
+from beaconfold.plans.viewability import PartnerRunsFailed, Warehouse, run_day, run_days
 from beaconfold.profiles import PINTEREST, SNAPCHAT, PartnerProfile
-from beaconfold.schemas import EVENT_TYPES, FRAUD_CATEGORIES, MART_KEYS, MART_MEASURES, RETENTION_DAYS
+from beaconfold.schemas import EVENT_TYPES, FRAUD_CATEGORIES, MART, MART_KEYS, MART_MEASURES, RETENTION_DAYS, SESSION_DATA
 from beaconfold.sinks.tables import read_mart, write_mart, write_pairs, write_sessions
-from beaconfold.sources.events import day_events, read_sessions
+from beaconfold.sources.events import day_events, read_session_table, read_sessions
 from beaconfold.sources.files import read_pairs
 from beaconfold.sources.scratch import shared_dir
-from beaconfold.sources.state import read_snapshot
+from beaconfold.sources.state import read_snapshot, write_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +39,7 @@ BY_IMPRESSION_TIME = replace(PINTEREST, event_order="event_seq")
 CLIENT_ID = "ad-sessions"
 RETENTION_AS_OF = "2001-01-01"
 MERGED_AT = datetime(2024, 1, 15)
+HOT_IN_TESTS = 100
 
 _QUERIES: dict[str, Query] = {}
 
@@ -329,5 +332,139 @@ def name_mapping_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.withColumn("runs", F.lit(f"{first} {second} {third}"))
 
 
+@_query
+def mart_site_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "mart-site")
+    write_mart(jas_mart_site_daily(spark, sf_dir), root, DATE)
+    return read_mart(spark, root, DATE, ("site",))
+
+
+@_query
+def jas_sessions_shipped_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both partners' profiles as they are, without an order column of the test data."""
+
+    def sessions(profile: PartnerProfile, timestamp: str) -> DataFrame:
+        events = day_events(fx.raw_events(spark, sf_dir, timestamp).drop("event_seq"), profile, DATE, OFFSET)
+        return ad_sessions(events, profile, DATE, OFFSET).select(F.lit(profile.name).alias("partner"), "*")
+
+    return sessions(SNAPCHAT, "s1").unionByName(sessions(PINTEREST, "s0"))
+
+
+@_query
+def jas_sessions_hot_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of which one has a third of all events, so that both routes have rows."""
+    events = day_events(fx.one_large_session(fx.raw_events(spark, sf_dir)), BY_IMPRESSION, DATE, OFFSET)
+    return ad_sessions(events, BY_IMPRESSION, DATE, OFFSET, hot_session_events=HOT_IN_TESTS)
+
+
+@_query
+def campaign_mapping_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's pairs extracted, applied to the committed table, and reported: the new version and the delivered report."""
+    root = shared_dir(spark, "campaign-run")
+    profile = replace(BY_IMPRESSION, measurement_source_id=fx.CAMPAIGN_SOURCE)
+    write_snapshot(fx.campaigns(spark, sf_dir), f"{root}/campaigns", 1)
+    extract_campaigns(fx.raw_events(spark, sf_dir), profile, DATE, f"{root}/pairs", OFFSET)
+    update_campaigns(
+        spark, profile, DATE, pairs_root=f"{root}/pairs", entities=fx.entities(spark, sf_dir),
+        campaigns_root=f"{root}/campaigns", exceptions_path=f"{root}/exceptions",
+    )
+    table = read_snapshot(spark, f"{root}/campaigns").select(
+        F.lit("TABLE").alias("kind"), F.col("ID").alias("id"), F.col("CAMPAIGN_ID").alias("campaign"), F.col("NAME").alias("text")
+    )
+    schema = "kind string, partner_measured_campaign_id bigint, existing bigint, new bigint, ias_adv_entity_id bigint, report_line string"
+    report = spark.read.schema(schema).json(f"{root}/exceptions").select(
+        "kind", F.coalesce("partner_measured_campaign_id", "ias_adv_entity_id").alias("id"), F.col("new").alias("campaign"), F.col("report_line").alias("text")
+    )
+    return table.unionByName(report)
+
+
+@_query
+def new_file_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over files of orders per year: most years, then the rest and changes to even years, then nothing new."""
+    root = shared_dir(spark, "new-files")
+    years = [(r["year"], r["orders"]) for r in fx.yearly_counts(spark, sf_dir).collect()]
+    jvm = spark.sparkContext._jvm
+    inbound = jvm.org.apache.hadoop.fs.Path(f"{root}/in")
+    files = inbound.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def put(year: int, text: str) -> None:
+        stream = files.create(jvm.org.apache.hadoop.fs.Path(inbound, f"discrepency_counts_{year}.csv"), True)
+        stream.write(text.encode())
+        stream.close()
+
+    def run(n: int) -> DataFrame | None:
+        path = f"{root}/notices/{n}"
+        found = notify_new_files(
+            spark, files_dir=f"{root}/in", name_prefix="discrepency_counts_", files_type=fx.FILES_TYPE, state_path=f"{root}/state", client_id=CLIENT_ID, notices_path=path
+        )
+        if not found:
+            return None
+        return spark.read.schema("client_id string, data_url string").json(path).select(
+            "client_id", F.regexp_extract("data_url", "[^/]*$", 0).alias("file"), F.lit(n).alias("run")
+        )
+
+    for year, orders in years:
+        if year % 3 != 0:
+            put(year, f"{year},{orders}\n")
+    first = run(1)
+    for year, orders in years:
+        if year % 3 == 0 or year % 2 == 0:
+            put(year, f"{year},{orders},seen again\n")
+    return reduce(DataFrame.unionByName, [made for made in (first, run(2), run(3)) if made is not None])
+
+
+def _stored_events(spark: SparkSession, raw: DataFrame, path: str) -> None:
+    raw.hint("rebalance", "utcdate", "utchour").write.partitionBy("utcdate", "utchour").parquet(path)
+
+
+@_query
+def catalog_day_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day run between catalog tables, twice: the stored mart, and one made of the stored sessions, both read by the catalog."""
+    root = shared_dir(spark, "catalog")
+    names = {kind: f"{kind}_{uuid.uuid4().hex}" for kind in ("raw", "sessions", "mart")}
+    for kind, database in names.items():
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{kind}'")
+    raw = fx.raw_events(spark, sf_dir).drop("event_seq")
+    _stored_events(spark, raw, f"{root}/raw/snapchat")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in raw.schema.fields)
+    spark.sql(f"CREATE TABLE {names['raw']}.snapchat ({columns}) USING parquet PARTITIONED BY (utcdate, utchour) LOCATION '{root}/raw/snapchat'")
+    spark.sql(f"ALTER TABLE {names['raw']}.snapchat RECOVER PARTITIONS")
+    data = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SESSION_DATA.fields)
+    spark.sql(
+        f"CREATE TABLE {names['sessions']}.snapchat ({data}, estdate STRING, esthour STRING) USING parquet"
+        f" PARTITIONED BY (estdate, esthour) LOCATION '{root}/sessions/snapchat'"
+    )
+    data = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in MART.fields)
+    spark.sql(
+        f"CREATE TABLE {names['mart']}.snapchat ({data}, estdate STRING) USING csv OPTIONS (sep '\t', nullValue '\\\\N')"
+        f" PARTITIONED BY (estdate) LOCATION '{root}/mart/snapchat'"
+    )
+    warehouse = Warehouse(
+        session_root=f"{root}/sessions", mart_root=f"{root}/mart", raw_database=names["raw"], session_database=names["sessions"], mart_database=names["mart"]
+    )
+    # The second run rewrites the day, and the catalog follows to the new version.
+    for _ in range(2):
+        run_day(spark, SNAPCHAT, warehouse, DATE)
+    stored = spark.table(f"{names['mart']}.snapchat").where(F.col("estdate") == nodash(DATE)).drop("estdate")
+    again = daily_mart(read_session_table(spark, f"{names['sessions']}.snapchat", DATE))
+    return stored.withColumn("store", F.lit("mart")).unionByName(again.withColumn("store", F.lit("sessions")))
+
+
+@_query
+def viewability_partners_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two partners' days side by side, of which one lacks an hour: the other's mart, and what failed."""
+    root = shared_dir(spark, "partners")
+    raw = fx.raw_events(spark, sf_dir).drop("event_seq")
+    _stored_events(spark, raw, f"{root}/raw/snapchat")
+    _stored_events(spark, raw.where("NOT (utcdate = '20240115' AND utchour = '12')"), f"{root}/raw/pinterest")
+    warehouse = Warehouse(session_root=f"{root}/sessions", mart_root=f"{root}/mart", raw_root=f"{root}/raw")
+    try:
+        run_days(spark, warehouse, DATE)
+        failed = ""
+    except PartnerRunsFailed as e:
+        failed = "; ".join(map(str, e.exceptions))
+    return read_mart(spark, f"{root}/mart/snapchat", DATE).withColumn("failed", F.lit(failed))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

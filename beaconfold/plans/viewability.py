@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,18 +17,23 @@ from beaconfold.functions.expressions import nodash
 from beaconfold.operators.files import load_manifest
 from beaconfold.operators.mart import daily_mart
 from beaconfold.operators.partitions import (
+    day_partitions,
     missing_source_hours,
-    partitions_to_register,
+    move_partitions,
     register_partitions,
     table_partitions,
 )
 from beaconfold.operators.sessions import ad_sessions
 from beaconfold.profiles import PartnerProfile, select_profiles
-from beaconfold.sinks.tables import date_path, write_mart, write_sessions
+from beaconfold.sinks.tables import write_mart, write_sessions
+from beaconfold.sources.days import day_folder
 from beaconfold.sources.events import day_events, read_events, read_sessions
 from beaconfold.sources.files import list_partition_hours
 
 
+Result = TypeVar("Result")
+
+
 class SourceIncomplete(Exception):
     """Some hours of the data day have not arrived."""
 
@@ -102,10 +110,13 @@ def build_mart(spark: SparkSession, profile: PartnerProfile, warehouse: Warehous
 
 
 def register_day(spark: SparkSession, table: str, root: str, data_date: str, *, by_hour: bool) -> int:
-    """Register the partitions of one date in the catalog; returns how many were new."""
+    """Have the catalog's partitions of one date point to the day's committed version; returns how many were new."""
     day = spark.range(1).select(F.lit(nodash(data_date)).alias("estdate"))
-    plan = partitions_to_register(day, table_partitions(spark, table, ("estdate", nodash(data_date))), f"{root.rstrip('/')}/", by_hour)
-    return register_partitions(spark, table, plan)
+    wanted = day_partitions(day, F.lit(day_folder(spark, root, data_date)), by_hour)
+    keys = [c for c in wanted.columns if c != "location"]
+    existing = table_partitions(spark, table, ("estdate", nodash(data_date)))
+    move_partitions(spark, table, wanted.join(existing, keys, "left_semi"))
+    return register_partitions(spark, table, wanted.join(existing, keys, "left_anti"))
 
 
 def run_day(
@@ -136,36 +147,52 @@ def run_day(
             root = f"{warehouse.mart_root}/{name}"
             register_day(spark, f"{warehouse.mart_database}.{name}", root, data_date, by_hour=False)
 
-    urls = [date_path(f"{warehouse.mart_root}/{name}", data_date) + "/" for name in tables]
+    urls = [day_folder(spark, f"{warehouse.mart_root}/{name}", data_date) + "/" for name in tables]
     locations = spark.range(1).select(F.explode(F.array(*[F.lit(u) for u in urls])).alias("url"))
     return load_manifest(locations, warehouse.client_id, F.col("url"))
 
 
+class PartnerRunsFailed(ExceptionGroup):
+    """Some partners' runs failed; ``done`` has what the others returned, by partner."""
+
+    done: dict[str, object] = {}
+
+    def derive(self, excs: Sequence[Exception]) -> PartnerRunsFailed:
+        group = PartnerRunsFailed(self.message, excs)
+        group.done = self.done
+        return group
+
+
 def run_days(
     spark: SparkSession, warehouse: Warehouse, data_date: str, partners: Iterable[str] | None = None, **day: object
 ) -> dict[str, DataFrame]:
-    """The daily run for the partners named, or for all of them; one that fails doesn't keep the others from running."""
+    """The daily run for the partners named, or for all of them, side by side; the load notices by partner."""
     profiles = select_profiles(None if partners is None else list(partners))
-    notices: dict[str, DataFrame] = {}
-
-    def run(profile: PartnerProfile) -> None:
-        notices[profile.name] = run_day(spark, profile, warehouse, data_date, **day)
+    return for_each_partner(profiles, lambda profile: run_day(spark, profile, warehouse, data_date, **day))
 
-    for_each_partner(profiles, run)
-    return notices
 
+def for_each_partner(profiles: Iterable[PartnerProfile], run: Callable[[PartnerProfile], Result], at_once: int = 4) -> dict[str, Result]:
+    """Run every partner, several at a time on the one session, so that one's narrow stages fill up with another's tasks.
 
-def for_each_partner(profiles: Iterable[PartnerProfile], run: Callable[[PartnerProfile], None]) -> None:
-    """Run every partner, then raise what failed: a partner run alone raises its own error, several raise a group."""
-    failed: list[Exception] = []
+    A partner that fails keeps none of the others from running. Afterwards a partner that ran alone raises its own error, several
+    raise a ``PartnerRunsFailed`` with all errors, each with its partner as a note.
+    """
     profiles = list(profiles)
-    for profile in profiles:
-        try:
-            run(profile)
-        except Exception as e:
-            e.add_note(f"partner {profile.name}")
-            failed.append(e)
+    done: dict[str, Result] = {}
+    failed: list[Exception] = []
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(profiles)))) as pool:
+        own_thread = inheritable_thread_target(SparkSession.active())
+        running = [(p, pool.submit(own_thread(run), p)) for p in profiles]
+        for profile, future in running:
+            try:
+                done[profile.name] = future.result()
+            except Exception as e:
+                e.add_note(f"partner {profile.name}")
+                failed.append(e)
     if failed and len(profiles) == 1:
         raise failed[0]
     if failed:
-        raise ExceptionGroup(f"{len(failed)} partner runs failed", failed)
+        group = PartnerRunsFailed(f"{len(failed)} of {len(profiles)} partner runs failed", failed)
+        group.done = done
+        raise group
+    return done

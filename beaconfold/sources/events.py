@@ -12,6 +12,7 @@ from beaconfold.functions.calendar import in_data_day
 from beaconfold.functions.expressions import nodash
 from beaconfold.profiles import PartnerProfile
 from beaconfold.schemas import RAW_EVENTS, SESSIONS
+from beaconfold.sources.days import day_folder
 
 ORDER = "event_seq"
 
@@ -43,14 +44,14 @@ def read_events(
 
 
 def canonical_events(raw: DataFrame, profile: PartnerProfile) -> DataFrame:
-    """Raw events under canonical names, with the absent channel dimension and a total order."""
-    # Of the declared columns only: another one, a map for instance, is neither read nor able to change the order.
-    order = F.struct("timestamp", F.xxhash64(*[c for c in raw.columns if c in RAW_EVENTS.names]))
+    """Raw events under canonical names, with the absent channel dimension and, if the profile has one, its order column.
+
+    Without, no order is made here: those who need one make it of the columns they read (``dedupe_events``, ``session_facts``).
+    """
+    added = {"partner_measured_channel_id": F.lit(None).cast("bigint")}
     if profile.event_order is not None:
-        order = F.col(profile.event_order)
-    return raw.withColumns(
-        {"partner_measured_channel_id": F.lit(None).cast("bigint"), ORDER: order}
-    ).withColumnsRenamed(dict(profile.renames))
+        added[ORDER] = F.col(profile.event_order)
+    return raw.withColumns(added).withColumnsRenamed(dict(profile.renames))
 
 
 def day_events(
@@ -61,11 +62,10 @@ def day_events(
 
 
 def read_sessions(spark: SparkSession, path: str, data_date: str, file_format: str = "parquet") -> DataFrame:
-    """Stored sessions of one day from the directory layout ``date=…/hour=…``."""
-    # Only this date's folder is listed.
-    day = f"{path}/date={nodash(data_date)}"
-    stored = spark.read.format(file_format).schema(SESSIONS).option("basePath", path).load(day)
-    return stored.where(F.col("date") == nodash(data_date)).select(*SESSIONS.names)
+    """Stored sessions of one day: its committed version, by ``hour=…``. No other date is listed."""
+    stored = T.StructType([f for f in SESSIONS.fields if f.name != "date"])
+    day = spark.read.format(file_format).schema(stored).load(day_folder(spark, path, data_date))
+    return day.withColumn("date", F.lit(nodash(data_date))).select(*SESSIONS.names)
 
 
 def read_session_table(spark: SparkSession, table: str, data_date: str) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconfold.functions.expressions import nodash
 from beaconfold.schemas import CAMPAIGN_PAIRS, FILE_LISTING
+from beaconfold.sources.days import day_folder
 
 
 def _file_key() -> Column:
@@ -63,7 +63,7 @@ def list_partition_hours(spark: SparkSession, path: str, utcdates: Sequence[str]
 
 def read_pairs(spark: SparkSession, root: str, data_date: str) -> DataFrame:
     """Extracted campaign pairs of one day, JSON lines."""
-    return spark.read.schema(CAMPAIGN_PAIRS).json(f"{root}/date={nodash(data_date)}")
+    return spark.read.schema(CAMPAIGN_PAIRS).json(day_folder(spark, root, data_date))
 
 
 def exact_paths(keys: Sequence[str]) -> list[str]:

@@ -66,6 +66,28 @@ d AS (SELECT * FROM e
   QUALIFY row_number() OVER (PARTITION BY impression_id, type, "timestamp" ORDER BY event_seq) = 1)"""
 
 
+# Columns by which events of equal keys are told apart where a profile has no order of its own.
+TIES = """audible_play_time, endpoint, fraud_category, full_screen, general_invalid, in_view_100, in_view_50, measurable,
+  measurement_source_id, media_type_id, non_continuous_play_time, partner_measured_advertiser_id, partner_measured_campaign_id,
+  partner_measured_creative_id, partner_measured_placement_id, site, suspicious, utchour"""
+
+
+def deduped_as_shipped(ts: str, keys: str) -> str:
+    ties = ", ".join(f"{c.strip()} NULLS FIRST" for c in TIES.split(","))
+    return f"""{day(ts)},
+one AS (SELECT * EXCLUDE (event_seq) FROM e
+  QUALIFY row_number() OVER (PARTITION BY impression_id, type, "timestamp" ORDER BY {ties}) = 1),
+d AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY "timestamp", type) AS event_seq FROM one)"""
+
+
+def one_large_session(sql: str) -> str:
+    """The same with a third of all orders in one session."""
+    return sql.replace(
+        "CAST(k AS VARCHAR) AS impressionid, type, s0, s1, event_seq,",
+        "CASE WHEN k % 3 = 0 THEN '0' ELSE CAST(k AS VARCHAR) END AS impressionid, type, s0, s1, event_seq * 10000000 + k AS event_seq,",
+    )
+
+
 def prop(event: str, value: str) -> str:
     return f"arg_min({value}, event_seq) FILTER (WHERE type = '{event}' AND ({value}) IS NOT NULL)"
 
@@ -119,9 +141,9 @@ SESSION_PARTS = {
 }
 
 
-def sessions(ts: str = "s1", keys: str = "impression_id") -> str:
+def sessions(ts: str = "s1", keys: str = "impression_id", base: str | None = None) -> str:
     parts = ",\n  ".join(f"{sql} AS {name}" for name, sql in SESSION_PARTS.items())
-    return f"""{deduped(ts)},
+    return f"""{base or deduped(ts)},
 f AS (SELECT {keys}, {parts}
  FROM d GROUP BY {keys} HAVING bool_or(type = 'impression')),
 s AS (SELECT *, (NOT s AND NOT gi) AS c,
@@ -232,9 +254,9 @@ viewability_measured_or_fraud | BOOLEAN | m OR g OR NOT c
 _RULE = {name: rule for name, _, rule in SESSION_COLUMNS}
 
 
-def session_select(ts: str = "s1", keys: str = "impression_id") -> str:
+def session_select(ts: str = "s1", keys: str = "impression_id", base: str | None = None) -> str:
     columns = ", ".join(f"CAST({rule} AS {kind}) AS {name}" for name, kind, rule in SESSION_COLUMNS)
-    return f"{sessions(ts, keys)}, jas AS (SELECT {columns} FROM s)"
+    return f"{sessions(ts, keys, base)}, jas AS (SELECT {columns} FROM s)"
 
 
 def pick(*names: str) -> str:
@@ -243,7 +265,7 @@ def pick(*names: str) -> str:
     return f"WITH {sessions()} SELECT impression_id, {columns} FROM s"
 
 
-def mart(*extra: str) -> str:
+def mart(*extra: str, base: str | None = None) -> str:
     keys = """strptime("date", '%Y%m%d')::DATE AS hit_date, measurement_source_id, partner_measured_advertiser_id,
       partner_measured_campaign_id, partner_measured_channel_id, partner_measured_placement_id,
       partner_measured_creative_id, media_type_id"""
@@ -256,7 +278,7 @@ def mart(*extra: str) -> str:
             measures.append(f"CAST(NULL AS {'DOUBLE' if kind == 'DOUBLE' else 'BIGINT'}) AS {name}")
     measures += ["count(*) AS imps", "CAST(NULL AS VARCHAR) AS pm_platform"]
     first = "".join(f"{e}, " for e in extra)
-    return f"WITH {session_select()} SELECT {first}{keys}, {', '.join(measures)} FROM jas GROUP BY ALL"
+    return f"WITH {session_select(base=base)} SELECT {first}{keys}, {', '.join(measures)} FROM jas GROUP BY ALL"
 
 
 PAIRS = """pairs AS (SELECT DISTINCT partner_measured_campaign_id, ias_adv_entity_id FROM e WHERE ias_adv_entity_id <> 0)"""
@@ -381,7 +403,12 @@ def oracle_sql() -> dict[str, str]:
     bots = ", ".join(f"CAST(sum(CAST(({_RULE[b]}) AS INT)) AS BIGINT) AS {b}" for b in BOTS)
     jas = f"WITH {session_select()} SELECT * FROM jas"
     pairs = f"WITH {day('s1')}, {PAIRS} SELECT * FROM pairs"
-    return {
+    shipped = {
+        partner: f"WITH {session_select(ts, keys, deduped_as_shipped(ts, keys))} SELECT '{partner}' AS partner, * FROM jas"
+        for partner, ts, keys in (("snapchat", "s1", "impression_id"), ("pinterest", "s0", 'impression_id, "timestamp"'))
+    }
+    as_shipped = deduped_as_shipped("s1", "impression_id")
+    oracles = {
         "local_day_window": """WITH h AS (SELECT d AS data_date, CAST(d AS TIMESTAMP) + INTERVAL 5 HOUR + n * INTERVAL 1 HOUR AS u
             FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders), generate_series(0, 23) g(n))
           SELECT data_date, strftime(u, '%Y%m%d') AS utcdate, min(strftime(u, '%H')) AS first_hour,
@@ -472,4 +499,17 @@ def oracle_sql() -> dict[str, str]:
         "mart_sink_roundtrip": mart(),
         "campaign_mapping_roundtrip": pairs,
         "viewability_day_run": mart(),
+        "mart_site_sink_roundtrip": mart("site"),
+        "jas_sessions_shipped_profile": f"SELECT * FROM ({shipped['snapchat']}) UNION ALL SELECT * FROM ({shipped['pinterest']})",
+        "jas_sessions_hot_route": one_large_session(jas),
+        "catalog_day_run": f"SELECT * FROM ({mart(base=as_shipped)}), (VALUES ('mart'), ('sessions')) s(store)",
+        "viewability_partners_run": f"""SELECT *, 'pinterest: no source data for 20240115 12' AS failed FROM ({mart(base=as_shipped)})""",
+        "new_file_run": """WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS y FROM orders),
+            r AS (SELECT y, unnest(CASE WHEN y % 3 = 0 THEN [2] WHEN y % 2 = 0 THEN [1, 2] ELSE [1] END) AS run FROM y)
+          SELECT 'ad-sessions' AS client_id, 'discrepency_counts_' || y || '.csv' AS file, run FROM r""",
+    }
+    return oracles | {
+        "campaign_mapping_run": f"""SELECT 'TABLE' AS kind, "ID" AS id, "CAMPAIGN_ID" AS campaign, "NAME" AS text FROM ({oracles["campaign_mapping_apply"]})
+          UNION ALL SELECT kind, COALESCE(partner_measured_campaign_id, ias_adv_entity_id), "new", report_line
+          FROM ({oracles["campaign_mapping_exceptions"]})""",
     }

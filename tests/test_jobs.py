@@ -1,5 +1,6 @@
 """The daily run on files and in the catalog."""
 
+import threading
 from collections import Counter
 from dataclasses import replace
 
@@ -7,15 +8,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from beaconfold import fixtures as fx
+from beaconfold.operators.campaigns import extract_pairs
 from beaconfold.operators.mart import daily_mart
 from beaconfold.operators.partitions import partitions_to_register, table_partitions
 from beaconfold.operators.sessions import ad_sessions
 from beaconfold.plans.mappings import extract_campaigns, update_campaigns
-from beaconfold.plans.viewability import SourceIncomplete, Warehouse, run_day, run_days
-from beaconfold.profiles import SNAPCHAT
-from beaconfold.sinks.tables import read_mart, write_sessions
+from beaconfold.plans.viewability import PartnerRunsFailed, SourceIncomplete, Warehouse, for_each_partner, register_day, run_day, run_days
+from beaconfold.profiles import SNAPCHAT, select_profiles
+from beaconfold.schemas import SESSIONS
+from beaconfold.sinks.tables import read_mart, write_mart, write_pairs, write_sessions
+from beaconfold.sources.days import day_folder
 from beaconfold.sources.events import day_events, read_events, read_session_table, read_sessions
-from beaconfold.sources.files import list_partition_hours
+from beaconfold.sources.files import list_partition_hours, read_pairs
 from beaconfold.sources.state import read_snapshot, write_snapshot
 from tests.events import frame, random_events
 
@@ -50,8 +54,6 @@ def test_raw_partitions_stay_text_and_are_pruned(spark, raw_root):
 
 
 def test_mapping_extraction_reads_two_columns(spark, raw_root):
-    from beaconfold.operators.campaigns import extract_pairs
-
     events = day_events(read_events(spark, PROFILE, path=f"{raw_root}/snapchat"), PROFILE, DATE, -18000)
     plan = extract_pairs(events)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<campaignid:bigint,iasadventityid:bigint>" in plan
@@ -73,14 +75,17 @@ def test_day_run_writes_sessions_mart_and_notice(spark, raw, raw_root, tmp_path)
     want = ad_sessions(day_events(raw, PROFILE, DATE, -18000), PROFILE, DATE, -18000).cache()
     assert rows(read_sessions(spark, f"{tmp_path}/sessions/snapchat", DATE)) == rows(want)
     assert rows(read_mart(spark, f"{tmp_path}/mart/snapchat", DATE)) == rows(daily_mart(want))
-    assert {r["data_url"] for r in notice.collect()} == {
-        f"{tmp_path}/mart/{name}/date=20240115/" for name in ("snapchat", "snapchat_site")
-    }
-    text = spark.read.text(f"{tmp_path}/mart/snapchat/date=20240115").first()[0]
+    urls = {r["data_url"] for r in notice.collect()}
+    assert urls == {day_folder(spark, f"{tmp_path}/mart/{name}", DATE) + "/" for name in ("snapchat", "snapchat_site")}
+    assert all("/date=20240115/" in u for u in urls)
+    # What the notice names can be read as it is.
+    text = spark.read.text(next(u for u in urls if "_site" not in u)).first()[0]
     fields = text.split("\t")
     assert len(fields) == 92 and fields[0] == "2024-01-15" and fields[4] == "\\N"
-    names = [f.name for f in (tmp_path / "mart/snapchat/date=20240115").iterdir()]
+    names = [f.name for f in (tmp_path / "mart/snapchat/date=20240115").glob("_versions/*/*")]
     assert any(n.endswith(".csv.gz") for n in names)
+    site = read_mart(spark, f"{tmp_path}/mart/snapchat_site", DATE, ("site",))
+    assert rows(site) == rows(daily_mart(want, ("site",)))
     # Running the day again gives the same tables.
     run_day(spark, PROFILE, warehouse, DATE)
     assert rows(read_sessions(spark, f"{tmp_path}/sessions/snapchat", DATE)) == rows(want)
@@ -113,6 +118,76 @@ def test_incomplete_source_stops_the_run(spark, raw, tmp_path):
     assert not (tmp_path / "s").exists()
 
 
+def test_a_rewrite_that_fails_leaves_the_old_day(spark, raw, tmp_path):
+    sessions = ad_sessions(day_events(raw, PROFILE, DATE, -18000), PROFILE, DATE, -18000).cache()
+    mart = daily_mart(sessions).cache()
+    pairs = extract_pairs(day_events(raw, PROFILE, DATE, -18000)).cache()
+    roots = {n: f"{tmp_path}/{n}" for n in ("sessions", "mart", "pairs")}
+    writes = {"sessions": (write_sessions, sessions), "mart": (write_mart, mart), "pairs": (write_pairs, pairs)}
+    reads = {"sessions": read_sessions, "mart": read_mart, "pairs": read_pairs}
+    for name, (write, frame_) in writes.items():
+        write(frame_, roots[name], DATE)
+        # A reader that began before the rewrite ends with its own version.
+        began = reads[name](spark, roots[name], DATE)
+        first = frame_.columns[0]
+        fails = F.when(F.rand() < 2, F.raise_error(F.lit("executor gone"))).otherwise(F.col(first))
+        with pytest.raises(Exception, match="executor gone"):
+            write(frame_.withColumn(frame_.columns[-1], fails.cast(frame_.dtypes[-1][1])), roots[name], DATE)
+        assert rows(reads[name](spark, roots[name], DATE)) == rows(frame_)
+        write(frame_.limit(3), roots[name], DATE)
+        assert reads[name](spark, roots[name], DATE).count() == 3
+        assert rows(began) == rows(frame_)
+        write(frame_.where("false"), roots[name], DATE)
+        assert reads[name](spark, roots[name], DATE).count() == 0
+        # Of the committed versions two are kept.
+        assert len(list((tmp_path / name / "date=20240115").glob("_commit-*"))) == 2
+
+
+def test_days_of_the_first_release_are_read(spark, raw, tmp_path):
+    sessions = ad_sessions(day_events(raw, PROFILE, DATE, -18000), PROFILE, DATE, -18000).cache()
+    sessions.drop("date").write.partitionBy("hour").parquet(f"{tmp_path}/date=20240115")
+    assert rows(read_sessions(spark, str(tmp_path), DATE)) == rows(sessions)
+    write_sessions(sessions.limit(5), str(tmp_path), DATE)
+    assert read_sessions(spark, str(tmp_path), DATE).count() == 5
+
+
+def test_site_mart_keeps_texts_apart(spark, raw, tmp_path):
+    sites = [None, "", "a\tb", 'q"x"', "back\\", "line\nbreak", "é,", " blank ", '""', "\\"]
+    sessions = ad_sessions(day_events(raw, PROFILE, DATE, -18000), PROFILE, DATE, -18000).limit(len(sites) * 3).collect()
+    frame_ = spark.createDataFrame([r.asDict() | {"site": sites[k % len(sites)]} for k, r in enumerate(sessions)], SESSIONS)
+    mart = daily_mart(frame_, ("site",)).cache()
+    write_mart(mart, str(tmp_path), DATE)
+    assert {r.site for r in read_mart(spark, str(tmp_path), DATE, ("site",)).collect()} == set(sites)
+    assert rows(read_mart(spark, str(tmp_path), DATE, ("site",))) == rows(mart)
+
+
+def test_partners_run_side_by_side(spark):
+    met = threading.Barrier(2, timeout=60)
+
+    def run(profile):
+        met.wait()
+        if profile.name == "pinterest":
+            raise ValueError("no data")
+        return profile.name
+
+    with pytest.raises(PartnerRunsFailed) as failed:
+        for_each_partner(select_profiles(), run)
+    assert failed.value.done == {"snapchat": "snapchat"}
+    assert [e.__notes__ for e in failed.value.exceptions] == [["partner pinterest"]]
+    assert for_each_partner([], run) == {}
+
+
+def test_catalog_follows_a_rewrite(spark, raw, tmp_path):
+    sessions = ad_sessions(day_events(raw, PROFILE, DATE, -18000), PROFILE, DATE, -18000).cache()
+    data = ", ".join(f"{n} {t}" for n, t in sessions.drop("date", "hour").dtypes)
+    spark.sql(f"CREATE TABLE followed ({data}, estdate STRING, esthour STRING) USING parquet PARTITIONED BY (estdate, esthour) LOCATION '{tmp_path}'")
+    for part, new in ((sessions, 24), (sessions.where("hour <> '07'"), 0)):
+        write_sessions(part, str(tmp_path), DATE)
+        assert register_day(spark, "followed", str(tmp_path), DATE, by_hour=True) == new
+        assert rows(read_session_table(spark, "followed", DATE)) == rows(part)
+    spark.sql("DROP TABLE followed")
+
+
 def test_day_run_through_the_catalog(spark, raw, tmp_path):
     for db in ("raw_db", "session_db", "mart_db"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
