@@ -191,6 +191,13 @@ def name_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def name_listing_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing, and in a folder of each source copies of its newest files under the same etags."""
+    listing = name_listing(spark, sf_dir)
+    copies = listing.where(F.contains("key", F.lit("20240102"))).withColumn("key", F.replace(F.col("key"), F.lit("/advertiser"), F.lit("/copy/advertiser")))
+    return listing.unionByName(copies)
+
+
 def name_feed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of each source's feed, one of five cases by source."""
     source = F.col("source")

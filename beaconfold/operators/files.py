@@ -80,16 +80,14 @@ def select_latest_files(listing: DataFrame, state: DataFrame, pattern: str = DAT
     """
     dated = dated_files(listing, pattern)
     newest = dated.groupBy("stateKey").agg(F.max("timestamp").alias("timestamp"))
-    decoded = decode_feed_state(state)
-    done = feed_state_files(decoded).select("stateKey", "timestamp", "etag")
-    behind = decoded.select("stateKey", F.col("timestamp").alias("_processed"))
+    done = decode_feed_state(state).select("stateKey", F.col("timestamp").alias("_processed"), "partitions")
+    is_done = F.coalesce(F.exists("partitions", lambda p: p["etag"] == F.col("etag")), F.lit(False))
     return (
         dated.join(newest, ["stateKey", "timestamp"], "left_semi")
         .groupBy("stateKey", "timestamp", "etag")
         .agg(F.max("key").alias("key"), F.min("key").alias("apply_key"))
-        .join(behind, "stateKey", "left")
-        .where(F.col("_processed").isNull() | (F.col("timestamp") >= F.col("_processed")))
-        .join(done, ["stateKey", "timestamp", "etag"], "left_anti")
+        .join(done, "stateKey", "left")
+        .where(F.col("_processed").isNull() | (F.col("timestamp") > F.col("_processed")) | ((F.col("timestamp") == F.col("_processed")) & ~is_done))
         .select("stateKey", "timestamp", "key", "etag", "apply_key")
     )
 

@@ -204,6 +204,12 @@ def name_mapping_latest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fl.select_latest_files(fx.name_listing(spark, sf_dir), fx.name_feed_state(spark, sf_dir))
 
 
+@_query
+def name_mapping_equal_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of equal etags are one: read under the last key, applied at the place of the first."""
+    return fl.select_latest_files(fx.name_listing_with_copies(spark, sf_dir), fx.name_feed_state(spark, sf_dir))
+
+
 @_query
 def name_mapping_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.split_part("stateKey", F.lit("."), F.lit(3)).cast("int")

@@ -468,6 +468,8 @@ def oracle_sql() -> dict[str, str]:
                 rpad(COALESCE(CAST(existing AS VARCHAR), 'none'), 24, ' ') || ' | ' || rpad(CAST("new" AS VARCHAR), 19, ' ')
               ELSE CAST(ias_adv_entity_id AS VARCHAR) END AS report_line FROM x""",
         "name_mapping_latest_files": f'WITH {NAMES} SELECT stateKey, "timestamp", key, etag, apply_key FROM sel',
+        "name_mapping_equal_files": f"""WITH {NAMES} SELECT stateKey, "timestamp",
+            replace(key, '/advertiser', '/copy/advertiser') AS key, etag, key AS apply_key FROM sel""",
         "name_mapping_incoming": f"WITH {NAMES} SELECT * FROM inc",
         "name_mapping_merge": f"""WITH {NAMES},
           tgt AS (SELECT CAST(FLOOR(s_suppkey/100) + 10 AS INT) AS source, s_suppkey AS id, s_name AS name FROM supplier)
