@@ -38,15 +38,21 @@ def discard(spark: SparkSession, path: str) -> None:
     remove_dir(spark, path)
 
 
+def carried(docs: DataFrame, *without: str) -> Column:
+    """A row's columns as one struct, beside which own columns can't clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without])
+
+
 def apply_copies(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The documents as often as ``verdicts`` say: (row, copies: how many to give out, times: how many there are).
+    """The documents as often as ``verdicts`` say: (doc_id, row, copies: how many to give out, times: how many there are).
 
-    ``row`` is the ``row_key`` of id and text. Of rows equal in both, one is taken and given out ``copies`` times; partial
-    aggregation finds it, however often it occurs.
+    ``row`` is the ``row_key`` of id and text. Rows are found by both, so a key counts among the rows of one id only. Of rows
+    equal in both, one is taken and given out ``copies`` times; partial aggregation finds it, however often it occurs.
     """
-    named = verdicts.select(F.col("row").alias("_row"), F.col("copies").alias("_copies"), F.col("times").alias("_times")).where("_copies > 0")
-    joined = docs.withColumn("_key", row_key(F.col("doc_id"), F.col("text"))).join(named, F.col("_key") == F.col("_row"))
-    given = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies").cast("bigint"))).alias("_copy")
-    single = joined.where("_times = 1").select(*docs.columns, given)
-    first = joined.where("_times > 1").groupBy("_key", "_copies").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("r"))
-    return single.unionByName(first.select("r.*", given)).select(docs.columns)
+    named = verdicts.where("copies > 0").select(F.col("doc_id").alias("of_id"), F.col("row").alias("of_row"), "copies", "times")
+    rows = docs.select(carried(docs).alias("doc"), F.col("doc_id").alias("id"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    joined = rows.join(named, (F.col("key") == F.col("of_row")) & F.col("id").eqNullSafe(F.col("of_id")))
+    given = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies").cast("bigint"))).alias("copy")
+    single = joined.where("times = 1").select("doc", given)
+    first = joined.where("times > 1").groupBy("key", "id", "copies").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+    return single.unionByName(first.select("doc", given)).select("doc.*")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconfold.llm.common import SPACE, plain_text, staged, table
+from beaconfold.llm.common import SPACE, carried, plain_text, staged, table
 
 #: Fingerprints an owner is meant to get; with the count of documents this gives the number of owners.
 OWNED = 2_000_000
@@ -149,14 +149,15 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns; of rows equal in id and length within a group, one."""
-    found = duplicate_groups(docs).where("grouped").groupBy("digest", "keep_id", "keep_chars").agg(F.lit(1).alias("_one"))
-    found = found.withColumnsRenamed({"digest": "_digest", "keep_id": "_keep", "keep_chars": "_chars"})
-    keyed = docs.withColumn("_key", F.unhex(F.sha2(normalised(plain_text()), 256))).withColumn("_length", F.length(plain_text()).cast("bigint"))
-    joined = keyed.join(found, F.col("_key") == F.col("_digest"), "left")
-    alone = joined.where("_one IS NULL").select(docs.columns)
-    winners = joined.where("_one IS NOT NULL AND doc_id <=> _keep AND _length = _chars")
+    found = duplicate_groups(docs).where("grouped").select("digest", "keep_id", "keep_chars").distinct()
+    keyed = docs.select(
+        carried(docs).alias("doc"), F.col("doc_id").alias("id"), F.unhex(F.sha2(normalised(plain_text()), 256)).alias("key"), F.length(plain_text()).cast("bigint").alias("chars")
+    )
+    joined = keyed.join(found, F.col("key") == F.col("digest"), "left")
+    alone = joined.where("digest IS NULL").select("doc.*")
+    winners = joined.where("digest IS NOT NULL AND id <=> keep_id AND chars = keep_chars")
     # Rows of the same id and text may be repeated: one of them stays.
-    first = winners.groupBy("_key").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")).select("row.*")
+    first = winners.groupBy("key").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc")).select("doc.*")
     return alone.unionByName(first)
 
 

@@ -24,7 +24,7 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconfold.llm.common import SPACE, plain_text, table
+from beaconfold.llm.common import SPACE, carried, plain_text, table
 
 #: Fixed phrases that mark a line as boilerplate.
 BOILERPLATE = (
@@ -142,6 +142,6 @@ def op6_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: rejected documents go, failing lines leave the others' texts."""
-    columns = docs.columns
-    cleaned = clean_lines(docs).where("kept").withColumn("text", F.col("clean_text"))
-    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(columns)
+    cleaned = clean_lines(docs.select(carried(docs, "text").alias("doc"), "text")).where("kept")
+    own = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast(docs.schema["n_chars"].dataType)}
+    return cleaned.select(*[own.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])

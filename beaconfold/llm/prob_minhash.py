@@ -11,9 +11,10 @@ components of the links.
 Texts with the same words are one text from the start: one signature stands for all copies, and a class row is given
 to each document. Within a band, documents are not paired with one another: each is compared with its least and
 greatest member by node, and what is linked is one class from then on. Bands that still hold several classes, for example
-of texts around one common passage, are then split by rare shingles: two similar texts share one of the rarest fifth
-of each one's shingles (any order would do; rarity only keeps the groups small). A group with several classes is compared
-in blocks of bounded size, its largest class only with the others, so no link within a band is lost.
+of texts around one common passage, are then compared whole, in blocks of a bounded number of members, their largest class only
+with the others; two members that meet in several bands are compared in the least one. So no link within a band is lost.
+Shingles are told apart by 32 bits of their hash: two texts of 20,000 words have about 0.1 of them equal by chance, which
+matters for a similarity within 0.00001 of the threshold only.
 
 Defined results: null and empty texts have no shingle and are one class; a text of fewer than five words is one
 shingle; class_id is the least doc_id of the class, null only if it has no other; other columns stay out.
@@ -26,7 +27,6 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +36,6 @@ from beaconfold.llm.hashing import groups_of, mix, text_bytes, word_hashes
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 24, 4, 0.8
 GROUP_BYTES = 1 << 20
-#: Counters for the rarity of shingles; what is broadcast has this many 32-bit numbers at every size of the corpus.
-RARITY_SLOTS = 1 << 21
 #: About how many members of each of two sides a block has, and how many shingles it looks at in one go.
 BLOCK_MEMBERS, BLOCK_COLUMNS = 128, 4096
 SIGNED = "doc_id bigint, row bigint, node binary, bands array<bigint>, shingles binary"
@@ -182,60 +180,6 @@ def _renamed(banded: DataFrame, roots: DataFrame) -> DataFrame:
     return banded.join(named, F.col("root") == F.col("_node"), "left").select("band", "node", F.coalesce("_root", "root").alias("root"))
 
 
-def _slots(shingles: np.ndarray) -> np.ndarray:
-    return (mix(shingles.astype(np.uint64)) % np.uint64(RARITY_SLOTS)).astype(np.int64)
-
-
-def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(RARITY_SLOTS, np.int64)
-    for batch in batches:
-        for text in batch.column("shingles").to_pylist():
-            np.add.at(counts, _slots(np.unique(np.frombuffer(text, "<u4"))), 1)
-    at = np.flatnonzero(counts)
-    for first in range(0, len(at), 1 << 16):
-        part = at[first : first + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], ["slot", "n"])
-
-
-def rarest(shingles: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
-    """The shingles of a text, rarest first, that hold one of each text as similar as ``threshold``.
-
-    What comes before the first common shingle isn't shared. For plain Jaccard that is at most ``1 - threshold`` of the
-    distinct shingles; for probability Jaccard, at most that part of the weight, for it is never more than the sum of the
-    lesser of both texts' shares. Shingles whose counter says that no other text has them are left out.
-    """
-    found, weight = np.unique(shingles, return_counts=True)
-    often = counts[_slots(found)]
-    order = np.lexsort((found, often))
-    found, weight, often = found[order], weight[order], often[order]
-    before = np.cumsum(weight) - weight
-    unshared = (1 - threshold) * (1 + 1e-9)
-    within = (np.arange(len(found)) <= unshared * len(found)) | (before <= unshared * weight.sum())
-    return found[within & (often > 1)]
-
-
-def _rare(slot_counts: Broadcast, threshold: float):
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = slot_counts.value
-        for batch in batches:
-            kept = [rarest(np.frombuffer(text, "<u4"), counts, threshold) for text in batch.column("shingles").to_pylist()]
-            at = pa.array(np.repeat(np.arange(len(kept)), [len(k) for k in kept]))
-            bands = np.concatenate(kept).astype(np.int64) if kept else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bands), batch.column("node").take(at), batch.column("root").take(at)], ["band", "node", "root"])
-
-    return rare
-
-
-def _rare_groups(opened: DataFrame, payload: DataFrame, threshold: float) -> tuple[DataFrame, Broadcast]:
-    """The members of open bands, grouped by their rare shingles instead: (band, node, root); and the shingles' counters."""
-    held, _ = staged(opened.select("node", "root").distinct().join(payload, "node"), "held")
-    totals = held.mapInArrow(_count_slots, "slot bigint, n bigint").groupBy("slot").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).alias("n")).toArrow()
-    counts = np.zeros(RARITY_SLOTS, np.int32)
-    counts[totals.column("slot").to_numpy()] = totals.column("n").to_numpy()
-    shared = opened.sparkSession.sparkContext.broadcast(counts)
-    return held.mapInArrow(_rare(shared, threshold), "band bigint, node binary, root binary"), shared
-
-
 def _blocks(banded: DataFrame) -> DataFrame:
     """(band, i, j, node, root): every two members of different classes of a band meet in one block (i, j) at least.
 
@@ -294,17 +238,13 @@ def similar_in_block(texts: list[np.ndarray], threshold: float) -> tuple[np.ndar
     return links, maybe
 
 
-def meet_first(texts: list[np.ndarray], band: int, counts: np.ndarray) -> np.ndarray:
-    """Which texts have no rarer shingle in common than ``band``: a pair is compared in one group only."""
-    often = counts[_slots(np.array([band]))][0]
-    rarer = []
-    for text in texts:
-        n = counts[_slots(text)]
-        rarer.append(np.unique(text[(n < often) | ((n == often) & (text < band))]))
-    flat, row = np.concatenate(rarer), np.repeat(np.arange(len(texts)), [len(r) for r in rarer])
+def meet_first(bands: list[np.ndarray], band: int) -> np.ndarray:
+    """Which members of a block have no lesser band in common than this one: a pair is compared in one band only."""
+    lesser = [b[b < band] for b in bands]
+    flat, row = np.concatenate(lesser), np.repeat(np.arange(len(bands)), [len(b) for b in lesser])
     order = np.argsort(flat, kind="stable")
     flat, row = flat[order], row[order]
-    first = np.ones((len(texts), len(texts)), bool)
+    first = np.ones((len(bands), len(bands)), bool)
     cuts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1], [True]])) if len(flat) else np.zeros(1, np.int64)
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         if b - a > 1:
@@ -312,20 +252,34 @@ def meet_first(texts: list[np.ndarray], band: int, counts: np.ndarray) -> np.nda
     return first
 
 
-def _compare(slot_counts: Broadcast, threshold: float):
+def _may_reach(texts: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which pairs may be similar by their sizes: of two texts without repeats the shorter must have enough shingles."""
+    distinct = np.array([len(np.unique(t)) for t in texts], float)
+    plain = distinct == np.array([len(t) for t in texts])
+    enough = np.minimum.outer(distinct, distinct) >= threshold * np.maximum.outer(distinct, distinct) - 1e-9
+    return enough | ~(plain[:, None] & plain[None, :])
+
+
+def _compare(threshold: float):
     def compare(block: pa.Table) -> pa.Table:
         names, root = np.unique(np.array(block.column("root").to_pylist(), object), return_inverse=True)
         out: list[tuple[bytes, bytes]] = []
         if len(names) > 1:
-            texts = [np.frombuffer(x, "<u4") for x in block.column("shingles").to_pylist()]
-            # Of the links between classes, what joins them up.
-            leader = np.arange(len(names))
-            apart = np.triu(root[:, None] != root[None, :], 1) & meet_first(texts, block.column("band")[0].as_py(), slot_counts.value)
-            links, maybe = similar_in_block(texts, threshold) if apart.any() else (apart, apart)
-            for sure, pairs in ((True, links), (False, maybe)):
-                for i, j in np.argwhere(pairs & apart):
+            bands = [np.array(b, np.int64) for b in block.column("bands").to_pylist()]
+            apart = np.triu(root[:, None] != root[None, :], 1) & meet_first(bands, block.column("band")[0].as_py())
+            if apart.any():
+                texts = [np.frombuffer(x, "<u4") for x in block.column("shingles").to_pylist()]
+                apart &= _may_reach(texts, threshold)
+                # Few pairs are compared one by one, many all at once.
+                sure = np.zeros_like(apart)
+                if apart.sum() * 16 > len(texts) ** 2:
+                    links, maybe = similar_in_block(texts, threshold)
+                    sure, apart = links & apart, (links | maybe) & apart
+                # Of the links between classes, what joins them up.
+                leader = np.arange(len(names))
+                for i, j in [*np.argwhere(sure), *np.argwhere(apart & ~sure)]:
                     x, y = leader[root[i]], leader[root[j]]
-                    if x != y and (sure or similarity(texts[i], texts[j]) >= threshold):
+                    if x != y and (sure[i, j] or similarity(texts[i], texts[j]) >= threshold):
                         leader[leader == max(x, y)] = min(x, y)
                         out.append((names[root[i]], names[root[j]]))
         a, b = zip(*out, strict=True) if out else ((), ())
@@ -345,14 +299,17 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     """(doc_id, row, class_id, class_row, class_size) for every row of ``docs``; ``row`` is its ``row_key`` of id and text."""
     spark = docs.sparkSession
     read = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row"), "text")
-    signed, _ = staged(read.mapInArrow(_signer(bands, rows), SIGNED), "signed")
+    signed, signed_at = staged(read.mapInArrow(_signer(bands, rows), SIGNED), "signed")
+    named, _ = staged(signed.select("doc_id", "row", "node"), "nodes")
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"))
     shared = nodes.select("node", F.explode("bands").alias("band"))
     crowded = shared.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    banded, _ = staged(shared.join(crowded, "band"), "bands")
-    payload, _ = staged(
+    banded, banded_at = staged(shared.join(crowded, "band"), "bands")
+    payload, payload_at = staged(
         signed.select("node", "shingles").join(banded.select("node").distinct(), "node").groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles"
     )
+    # Shingles of texts that share no band are done with.
+    discard(spark, signed_at)
     pairs = _candidates(banded.withColumn("root", F.col("node")))
     with_a = pairs.join(payload.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     with_both = with_a.join(payload.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").select("ra", "rb", "sa", "sb")
@@ -360,17 +317,18 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     found = components(links.toDF("a", "b"))
     discard(spark, links_at)
     # Classes so far are the nodes now: what is linked stays linked, and the graph gets smaller.
-    opened = _several(_renamed(banded.withColumn("root", F.col("node")), found))
-    rare, slot_counts = _rare_groups(opened, payload, threshold)
-    groups, groups_at = staged(_several(rare), "groups")
+    opened, opened_at = staged(_several(_renamed(banded.withColumn("root", F.col("node")), found)), "open-bands")
+    discard(spark, banded_at)
+    carried = opened.groupBy("node").agg(F.collect_set("band").alias("bands")).join(payload, "node")
     # A stated number of partitions: blocks are costly for their bytes, so small ones aren't put together.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = _blocks(groups).join(payload, "node").repartition(parts, "band", "i", "j")
-    links, links_at = staged(met.groupBy("band", "i", "j").applyInArrow(_compare(slot_counts, threshold), "ra binary, rb binary"), "verified")
+    met = _blocks(opened).join(carried, "node").repartition(parts, "band", "i", "j")
+    links, links_at = staged(met.groupBy("band", "i", "j").applyInArrow(_compare(threshold), "ra binary, rb binary"), "verified")
+    discard(spark, payload_at)
+    discard(spark, opened_at)
     found = _joined_up(found, components(links.toDF("a", "b")))
     discard(spark, links_at)
-    discard(spark, groups_at)
-    classed = signed.select("doc_id", "row", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classed = named.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))).alias("first")
     sizes = classed.groupBy("root").agg(first, F.count("*").alias("class_size"))
     sizes = sizes.select("root", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("class_row"), "class_size")
@@ -384,4 +342,4 @@ def op10_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each near-duplicate class the document with the least doc_id stays."""
     keep = (F.col("row") == F.col("class_row")).cast("bigint")
-    return apply_copies(docs, near_classes(docs).groupBy("row").agg(F.max(keep).alias("copies"), F.count("*").alias("times")))
+    return apply_copies(docs, near_classes(docs).groupBy("doc_id", "row").agg(F.max(keep).alias("copies"), F.count("*").alias("times")))

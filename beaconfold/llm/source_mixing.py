@@ -139,5 +139,5 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents as often as the mix takes them, to the nearest whole number; those without words go."""
     whole = F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)) + 0.5)
-    mixed = mix(docs).groupBy("row").agg(F.sum(whole).alias("copies"), F.count("*").alias("times"))
+    mixed = mix(docs).groupBy("doc_id", "row").agg(F.sum(whole).alias("copies"), F.count("*").alias("times"))
     return apply_copies(docs, mixed)

@@ -1,11 +1,14 @@
 """Each operator against a plain version, on odd rows and on the small tables."""
 
+import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -320,7 +323,7 @@ def test_blocks_of_groups(spark, monkeypatch):
 
 
 def test_similar_in_block():
-    """Plain links are exact, no link by probability Jaccard is missed, and pairs share a rare shingle in one group only."""
+    """Plain links are exact, no link by probability Jaccard is missed, and pairs are compared in their least band only."""
     rng = np.random.default_rng(3)
     texts = []
     for _ in range(60):
@@ -328,19 +331,18 @@ def test_similar_in_block():
         text[rng.choice(40, rng.integers(0, 9), replace=False)] = rng.integers(1000, 1200)
         texts.append(np.sort(np.repeat(text, rng.choice([1, 1, 1, 4], 40) if rng.random() < 0.5 else 1)).astype("<u4"))
     links, maybe = prob_minhash.similar_in_block(texts, 0.8)
-    counts = np.zeros(prob_minhash.RARITY_SLOTS, np.int32)
-    for text in texts:
-        np.add.at(counts, prob_minhash._slots(np.unique(text)), 1)
-    rare = [set(prob_minhash.rarest(text, counts, 0.8).tolist()) for text in texts]
-    first = {band: prob_minhash.meet_first(texts, band, counts) for band in set().union(*rare)}
+    bands = [np.sort(rng.choice(12, 5, replace=False)) for _ in texts]
+    first = {band: prob_minhash.meet_first(bands, band) for band in range(12)}
+    may = prob_minhash._may_reach(texts, 0.8)
     for i in range(60):
         for j in range(i):
             a, b = texts[i], texts[j]
             plain = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
             assert links[i, j] == (plain >= 0.8)
             if prob_minhash.similarity(a, b) >= 0.8:
-                assert links[i, j] or maybe[i, j]
-                assert sum(first[band][i, j] for band in rare[i] & rare[j]) == 1
+                assert (links[i, j] or maybe[i, j]) and may[i, j]
+            if both := set(bands[i]) & set(bands[j]):
+                assert [band for band in both if first[band][i, j]] == [min(both)]
 
 
 def test_components(spark):
@@ -363,7 +365,7 @@ def test_tokens_match_whole_texts():
 
 
 def test_pipeline(spark, odd_docs):
-    packed = corpus_pipeline.run(spark, SMALL).collect()
+    """Every stage's whole rows against plain versions of it."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     kept = {r.doc_id: r.clean_text for r in line_cleaning.clean_lines(docs).where("kept").collect()}
     order = sorted(kept)
@@ -372,10 +374,34 @@ def test_pipeline(spark, odd_docs):
     for i, b in zip(order, bare, strict=True):
         best[b] = min(best.get(b, (1, 0)), (-len(kept[i]), i))
     left = sorted(i for _, i in best.values())
-    roots = brute.near_classes([kept[i] for i in left])
-    near = {left[k] for k in roots}
-    packed_ids = {r.doc_id for r in packed}
-    assert packed_ids <= near and len(packed_ids) >= 0.9 * len(near)
+    near = {left[k] for k in brute.near_classes([kept[i] for i in left])}
+    given = docs.toPandas().set_index("doc_id")
+    stages = [docs]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        stages.append(stage(spark, stages[-1], SMALL).cache())
+    for frame, ids in zip(stages[1:4], (order, left, sorted(near)), strict=True):
+        want = [(i, kept[i], given.lang[i], given.source[i], len(kept[i])) for i in ids]
+        assert sorted(tuple(r) for r in frame.collect()) == want
+    # Mixing: as often as the mix takes a document, to the nearest whole number.
+    mixed = {r.doc_id: math.floor(r.taken / max(1, r["size"]) + 0.5) for r in source_mixing.mix(stages[3]).collect()}
+    want = Counter({(i, kept[i]): n for i, n in mixed.items() if n})
+    assert Counter((r.doc_id, r.text) for r in stages[4].collect()) == want and mixed.keys() == near
+    # Packing: each copy's pieces, whole, in gapless sequences.
+    packed = corpus_pipeline.run(spark, SMALL).collect()
+    encode = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = Counter()
+    for (i, text), n in want.items():
+        ids = np.array([*encode.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        for k, start in enumerate(range(0, len(ids), 4096)):
+            part = ids[start : start + 4096]
+            pieces[i, k, start, len(part), zlib.crc32(part.tobytes())] += n
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == pieces
+    sequences = {}
+    for r in packed:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sequences.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [0, *np.cumsum([n for _, n in parts])[:-1]] and sum(n for _, n in parts) <= 4096
     got = odd_docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
         got = stage(spark, got, SMALL)
@@ -384,5 +410,18 @@ def test_pipeline(spark, odd_docs):
         assert stage(spark, empty(odd_docs), SMALL).count() == 0
 
 
+CLASHING = """_key _row _copies _copy _times _text _words _once _lines _windows _left _one _digest _keep _chars _length key id doc digest keep_id keep_chars
+    row of_id of_row copies copy times n_words kept clean_text base_failed word_chars host score part fold node root band size target taken end""".split()
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SMALL).cache()
+        rows = docs.collect()
+        assert len(rows) > 50 and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in CLASHING), name
+
+
 def test_every_query_has_a_name():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries() if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries() if n != "pipeline") == list(range(1, 14))
