@@ -23,6 +23,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from beaconfold.llm.common import discard, row_key, staged, table
 from beaconfold.llm.tokens import encoder
@@ -196,7 +197,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, end_id:
 DECODED = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary"
 
 
-def _read(code, bases, with_ids: bool):
+def _read(code, with_ids: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [field.split()[0] for field in DECODED.split(", ")]
         types = [pa.int64()] * 4 + [pa.binary()]
@@ -206,7 +207,7 @@ def _read(code, bases, with_ids: bool):
                 at, out = 0, []
                 for doc, size in zip(row["docs"], row["sizes"], strict=True):
                     data = ids[at : at + size].tobytes()
-                    out.append((doc, bases[row["part"]] + row["first"] + at, size, zlib.crc32(data), data if with_ids else None))
+                    out.append((doc, row["base"] + row["first"] + at, size, zlib.crc32(data), data if with_ids else None))
                     at += size
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
@@ -220,12 +221,12 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
     lengths = np.zeros(int(known["id"].max()) + 1 if len(known) else 1, np.uint8)
     lengths[known["id"]] = known["length"]
     code = spark.sparkContext.broadcast(Code(lengths))
-    totals = {r["part"]: r["n"] for r in segments.groupBy("part").agg(F.sum("n").alias("n")).collect()}
-    bases, base = {}, 0
-    for part in sorted(totals):
-        bases[part] = base
-        base += totals[part]
-    return segments.mapInArrow(_read(code, bases, with_ids), DECODED)
+    # One row for each part of some 16 million ids: its ids and those of all parts before it.
+    totals = segments.groupBy("part").agg(F.sum("n").alias("total"))
+    before = F.sum("total").over(W.Window.orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1))
+    # Written, so that the join knows its size: a small one is broadcast, and segments aren't shuffled for it.
+    bases, _ = staged(totals.select("part", F.coalesce(before, F.lit(0)).alias("base")), "bases")
+    return segments.join(bases, "part").mapInArrow(_read(code, with_ids), DECODED)
 
 
 def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,9 @@ disagree on, go to the tokenizer whole. Joined pieces therefore equal the whole
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +20,16 @@ import pyarrow.compute as pc
 CACHE_PIECES = 1_000_000
 #: Pieces encoded in one call: the library's own records of a call are far larger than its ids.
 LEARN_PIECES = 8192
+#: Plain pieces that are encoded as one text.
+RUN_PIECES = 256
 #: Bytes of text that are split and looked up at a time.
 GROUP_BYTES = 4 << 20
 
+# A blank and some visible ASCII or two-byte characters, among which is no white space; and what separates such pieces: a blank
+# and a control character, which isn't one of them and so a piece of its own to both vocabularies.
+_PLAIN = re.compile(rb" (?:[!-~]|[\xc3-\xdf][\x80-\xbf]){1,60}")
+_MARK = b" \x01"
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _MAYBE = np.zeros(256, bool)
@@ -41,6 +50,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
+        self.mark, self.widths = self._mark_ids(), self._byte_widths()
         self.clear()
 
     def clear(self) -> None:
@@ -49,19 +59,68 @@ class Encoder:
         self.ends = np.zeros(1 << 16, np.int64)
 
     def _learn(self, pieces: list[bytes]) -> None:
-        at, n = len(self.place), 0
+        """Encode new pieces. A call costs much more than a piece, so plain ones go in runs.
+
+        Where a piece's ids end in a run is told by the bytes its ids stand for, or by a mark behind each piece.
+        """
+        runs = self.widths is not None or self.mark is not None
+        plain = [p for p in pieces if _PLAIN.fullmatch(p)] if runs else []
+        single = [p for p in pieces if not _PLAIN.fullmatch(p)] if plain else pieces
+        ids, sizes = [], []
+        if plain:
+            mark = b"" if self.widths is not None else _MARK
+            flat, _ = self._flat([(mark.join(plain[k : k + RUN_PIECES]) + mark).decode() for k in range(0, len(plain), RUN_PIECES)])
+            if self.widths is not None:
+                done = np.cumsum(self.widths[flat])
+                wanted = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))
+                ends = np.searchsorted(done, wanted) + 1
+                if done[-1] != wanted[-1] or (done[ends - 1] != wanted).any():
+                    raise ValueError("ids reach over pieces")
+                sizes.append(np.diff(ends, prepend=0))
+                ids.append(flat)
+            else:
+                ends = np.flatnonzero(flat == self.mark[-1]) + 1
+                if len(ends) != len(plain):
+                    raise ValueError("marks are lost in encoding")
+                marks = (ends[:, None] - np.arange(1, len(self.mark) + 1)).ravel()
+                sizes.append(np.diff(ends, prepend=0) - len(self.mark))
+                ids.append(np.delete(flat, marks))
+        if single:
+            flat, own = self._flat([p.decode() for p in single])
+            ids.append(flat)
+            sizes.append(own)
+        flat, own = np.concatenate(ids), np.concatenate(sizes)
+        at = len(self.place)
         top = self.ends[at - 1] if at else 0
-        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        lists = [e.ids for e in encoded]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        n = int(sizes.sum())
-        while top + n > len(self.ids):
+        while top + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while at + len(pieces) > len(self.ends):
+        while at + len(own) > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[top : top + n] = np.fromiter((i for x in lists for i in x), np.int64, n)
-        self.ends[at : at + len(pieces)] = top + np.cumsum(sizes)
-        self.place.update(zip(pieces, range(at, at + len(pieces)), strict=True))
+        self.ids[top : top + len(flat)] = flat
+        self.ends[at : at + len(own)] = top + np.cumsum(own)
+        self.place.update(zip(chain(plain, single), range(at, at + len(own)), strict=True))
+
+    def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts, and how many each has."""
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+
+    def _byte_widths(self) -> np.ndarray | None:
+        """For a vocabulary of bytes, how many each id stands for: its tokens are spelt with a character per byte."""
+        if "ByteLevel" not in str(self.tokenizer.decoder) or "Sequence" in str(self.tokenizer.decoder):
+            return None
+        widths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            widths[i] = len(token)
+        return widths
+
+    def _mark_ids(self) -> list[int] | None:
+        """The ids of the mark, if its last one can stand for nothing else in a plain piece."""
+        found = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
+        after = self.tokenizer.encode(f" a{_MARK.decode()} b{_MARK.decode()}", add_special_tokens=False).ids
+        alone = [self.tokenizer.encode(f" {c}", add_special_tokens=False).ids for c in "ab"]
+        return found if found and after == [*alone[0], *found, *alone[1], *found] else None
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, text after text, and each text's number of ids."""
