@@ -30,6 +30,8 @@ from beaconfold.llm.common import row_key, staged, table
 from beaconfold.llm.tokens import encoder
 
 CAPACITY = 4096
+#: Pieces of one length that are ranked together, and buckets a length has at most.
+BUCKET_PIECES, MAX_BUCKETS = 256, 65_536
 PIECES = "doc_id bigint, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
 
 
@@ -60,41 +62,60 @@ def cut_pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPA
 
 
 class Complements:
-    """Which available lengths sum exactly to a gap: one, two or three of them. Counts only fall, so a failed search
-    stays failed."""
+    """Index of which available lengths sum exactly to a gap: one, a pair by its sum, or one and an indexed pair.
+
+    A sum's pairs are listed when it is first asked for. As counts only fall, a pair with a length that is used up leaves the list for good; one
+    that is only short of what is held back for the moment stays in it.
+    """
 
     def __init__(self, counts: np.ndarray):
         self.counts = counts
-        self.no_pair: set[int] = set()
+        self.pairs: dict[int, list[int]] = {}
         self.no_triple: set[int] = set()
+        self.passed_over = False
+
+    def _enough(self, parts: tuple[int, ...]) -> bool:
+        return all(self.counts[x] >= parts.count(x) for x in parts)
+
+    def _of_sum(self, total: int) -> list[int]:
+        """The shorter lengths of a sum's pairs, the shortest last."""
+        if total not in self.pairs:
+            low = np.arange(1, total // 2 + 1)
+            self.pairs[total] = low[(self.counts[low] > 0) & (self.counts[total - low] > 0)][::-1].tolist()
+        return self.pairs[total]
+
+    def pair(self, total: int, held: tuple[int, ...]) -> tuple[int, int] | None:
+        found = self._of_sum(total) if total > 1 else []
+        at = len(found) - 1
+        while at >= 0:
+            low = found[at]
+            if not (self.counts[low] and self.counts[total - low]):
+                del found[at]
+            elif self._enough((*held, total - low, low)):
+                return total - low, low
+            else:
+                self.passed_over = True
+            at -= 1
+        return None
 
-    def pair(self, total: int) -> tuple[int, int] | None:
-        if total < 2 or total in self.no_pair:
-            return None
-        low = np.arange(1, total // 2 + 1)
-        fits = (self.counts[low] > 0) & (self.counts[total - low] > 0) & ((low * 2 != total) | (self.counts[low] > 1))
-        found = int(np.argmax(fits))
-        if not fits[found]:
-            self.no_pair.add(total)
-            return None
-        return total - int(low[found]), int(low[found])
-
-    def triple(self, total: int) -> tuple[int, int, int] | None:
+    def triple(self, total: int, held: tuple[int, ...]) -> tuple[int, int, int] | None:
         if total < 3 or total in self.no_triple:
             return None
-        for first in np.flatnonzero(self.counts[: total - 1])[::-1]:
-            if two := self.pair(total - int(first)):
-                three = (int(first), *two)
-                if all(self.counts[x] >= n for x, n in Counter(three).items()):
-                    return three
-        self.no_triple.add(total)
+        self.passed_over = False
+        for first in np.flatnonzero(self.counts[: total - 1])[::-1].tolist():
+            if not self._enough((*held, first)):
+                self.passed_over = True
+            elif two := self.pair(total - first, (*held, first)):
+                return first, *two
+        if not self.passed_over:
+            self.no_triple.add(total)
         return None
 
-    def fill(self, gap: int, pieces: int) -> tuple[int, ...] | None:
-        """``pieces`` lengths that sum to the gap."""
+    def fill(self, length: int, gap: int, pieces: int) -> tuple[int, ...] | None:
+        """``pieces`` lengths that sum to the gap beside a piece of ``length``, all of them there at once."""
         if pieces == 1:
-            return (gap,) if self.counts[gap] > 0 else None
-        return self.pair(gap) if pieces == 2 else self.triple(gap)
+            return (gap,) if self._enough((length, gap)) else None
+        return self.pair(gap, (length,)) if pieces == 2 else self.triple(gap, (length,))
 
 
 Kinds = list[tuple[int, list[tuple[int, int]]]]
@@ -119,16 +140,9 @@ def _plan(histogram: dict[int, int], capacity: int, depth: int) -> Kinds:
         counts[capacity] = 0
     index = Complements(counts)
     for pieces, length in itertools.product(range(1, depth + 1), range(capacity - 1, 0, -1)):
-        while counts[length] > 0:
-            counts[length] -= 1  # so that a complement doesn't use it
-            found = index.fill(capacity - length, pieces)
-            counts[length] += 1
-            if found is None:
-                break
+        while counts[length] > 0 and (found := index.fill(length, capacity - length, pieces)):
             parts = Counter((length, *found))
             many = min(int(counts[x]) // n for x, n in parts.items())
-            if many == 0:
-                break
             for x, n in parts.items():
                 counts[x] -= many * n
             kinds.append((many, sorted(parts.items(), reverse=True)))
@@ -195,15 +209,18 @@ def _place(places: np.ndarray):
     return place
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = 20_000) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKET_PIECES) -> DataFrame:
     """``pieces`` (row, piece, length and any others) with ``sequence_id`` and ``offset``.
 
-    ``pieces`` is read several times: give a stored table.
+    ``pieces`` is read several times: give a stored table. Ranks are dealt by length and bucket, and each length has as many
+    buckets as its own count asks for, so a length that many pieces share is split like any other.
     """
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    buckets = max(1, sum(histogram.values()) // bucket_pieces)
+    # One row per length: at most ``capacity``.
+    buckets = [(length, min(MAX_BUCKETS, -(-n // bucket_pieces))) for length, n in histogram.items()]
+    known = F.broadcast(pieces.sparkSession.createDataFrame(buckets, "length bigint, _buckets bigint"))
     # `_`-names can't clash with what callers bring.
-    bucketed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(buckets)))
+    bucketed = pieces.join(known, "length").withColumn("_bucket", F.pmod(F.xxhash64("row", "piece"), F.col("_buckets")))
     counted = bucketed.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(W.Window.partitionBy("length").orderBy("_bucket").rowsBetween(W.Window.unboundedPreceding, -1))
     firsts = counted.select("length", "_bucket", F.coalesce(before, F.lit(0)).alias("_first"))

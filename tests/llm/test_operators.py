@@ -1,5 +1,6 @@
 """Each operator against a plain version, on odd rows and on the small tables."""
 
+import itertools
 import math
 import re
 import zlib
@@ -364,6 +365,40 @@ def test_tokens_match_whole_texts():
         assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_complements_are_found_whenever_there_are_some():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        counts = np.zeros(31, np.int64)
+        counts[rng.integers(1, 30, rng.integers(1, 7))] = rng.integers(1, 4)
+        index = best_fit_packing.Complements(counts)
+        while counts.any():
+            length = int(rng.choice(np.flatnonzero(counts)))
+            have = [x for x in range(31) for _ in range(int(counts[x]) - (x == length))]
+            for pieces in (1, 2, 3):
+                some = any(sum(c) == 30 - length for c in itertools.combinations(have, pieces))
+                found = index.fill(length, 30 - length, pieces)
+                assert (found is not None) == some
+                if found:
+                    assert sum(found) == 30 - length and all(counts[x] >= n for x, n in Counter((length, *found)).items())
+            counts[length] -= 1
+
+
+def test_runs_of_pieces_match_whole_texts(small_docs, monkeypatch):
+    """Pieces encoded in runs, their ends told by bytes or by marks, and one by one."""
+    import pyarrow as pa
+
+    texts = [r.text or "" for r in small_docs.limit(60).collect()] + [" \x01 a \x01b", "Ünïcödé слово λέξη " * 9, "x" * 200 + " y", " a's don't"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        want = [x.ids for x in tokens.tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+        for run in (1, 3, 256):
+            monkeypatch.setattr(tokens, "RUN_PIECES", run)
+            encoder = tokens.Encoder(path)
+            assert (encoder.widths is None) == (name == "word_bpe_49k.json") and encoder.mark
+            ids, counts = encoder.encode(pa.array(texts, pa.string()))
+            assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_pipeline(spark, odd_docs):
     """Every stage's whole rows against plain versions of it."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
