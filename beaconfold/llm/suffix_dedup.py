@@ -35,7 +35,8 @@ from beaconfold.llm.common import discard, row_key, staged, table
 from beaconfold.llm.hashing import RangeHasher, groups_of, text_bytes
 
 MATCH, GRAM = 400, 240
-GROUP_BYTES = 1 << 20
+#: Texts are hashed in runs of about this size: the arrays of 64-bit numbers stay in a core's own cache.
+GROUP_BYTES = 1 << 17
 #: Longer runs of bytes are worked on in pieces; places within a piece must fit PLACE_BITS.
 PIECE_BYTES = 4 << 20
 PLACE_BITS = 23
