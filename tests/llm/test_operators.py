@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -125,6 +126,38 @@ def test_suffix_pieces(monkeypatch):
     assert starts(whole) == starts(pieces) == [*range(1951), *range(2000, 4951)]
 
 
+def test_windows_of_many_spans_at_once(monkeypatch):
+    """Windows are hashed a group of stretches at a time, not span by span, and no stretch's windows reach into the next."""
+    rng = np.random.default_rng(2)
+    texts = ["".join(map(chr, rng.integers(97, 123, n))) for n in (900, 50, 0, 700)] * 20
+    spans = [[(300, 420), (0, 99), (100, 130)], [(0, 10)], [], [(650, 660), (5, 5), (6, 300)]] * 20
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array(range(len(texts)), pa.int64()),
+            pa.array(texts),
+            pa.array([[{"first": a, "last": b} for a, b in own] for own in spans], pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
+        ],
+        ["row", "text", "open"],
+    )
+    made = []
+
+    class Counted(suffix_dedup.RangeHasher):
+        def __init__(self, data):
+            made.append(len(data))
+            super().__init__(data)
+
+    monkeypatch.setattr(suffix_dedup, "RangeHasher", Counted)
+    for size in (1 << 17, 64):
+        monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", size)
+        got = pa.Table.from_batches(suffix_dedup._windows(40, True)(iter([batch.slice(0, 30), batch.slice(30)]))).to_pylist()
+        assert size == 64 or len(made) <= 4
+        plain = [hashing.RangeHasher(np.frombuffer(t.encode(), np.uint8)).windows(40).view(np.int64) if len(t) >= 40 else [] for t in texts]
+        want = {(int(plain[i][at]), i, at) for i, own in enumerate(spans) for a, b in own for at in range(a, b + 1)}
+        assert len(got) == len(want) and {(r["tag"], r["row"], r["at"]) for r in got} == want
+        tags = pa.Table.from_batches(suffix_dedup._windows(40, False)(iter([batch]))).to_pylist()
+        assert Counter(r["tag"] for r in tags) == Counter(tag for tag, _, _ in want)
+
+
 def test_index_family_levels():
     family = suffix_dedup.IndexFamily()
     one = np.ones(4, np.int64)
