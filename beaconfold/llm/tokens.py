@@ -8,9 +8,10 @@ disagree on, go to the tokenizer whole. Joined pieces therefore equal the whole
 
 from __future__ import annotations
 
+import json
 import re
-from functools import lru_cache
-from itertools import chain
+from functools import lru_cache, partial
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,11 @@ RUN_PIECES = 256
 #: Bytes of text that are split and looked up at a time.
 GROUP_BYTES = 4 << 20
 
-# A blank and some visible ASCII or two-byte characters, among which is no white space; and what separates such pieces: a blank
-# and a control character, which isn't one of them and so a piece of its own to both vocabularies.
+# A blank and some visible ASCII or two-byte characters, among which is no white space; those of them that keep their number of
+# bytes in lower case and NFC, ASCII and U+00C0 to U+00FF; and what separates such pieces: a blank and a control character, which
+# isn't one of them and so a piece of its own to both vocabularies.
 _PLAIN = re.compile(rb" (?:[!-~]|[\xc3-\xdf][\x80-\xbf]){1,60}")
+_LATIN = re.compile(rb" (?:[!-~]|\xc3[\x80-\xbf]){1,60}")
 _MARK = b" \x01"
 
 _SPACE = np.zeros(256, bool)
@@ -50,7 +53,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
-        self.mark, self.widths = self._mark_ids(), self._byte_widths()
+        self.mark, self.widths, self.folded = self._mark_ids(), self._byte_widths(), self._folded_widths()
         self.clear()
 
     def clear(self) -> None:
@@ -63,32 +66,27 @@ class Encoder:
 
         Where a piece's ids end in a run is told by the bytes its ids stand for, or by a mark behind each piece.
         """
-        runs = self.widths is not None or self.mark is not None
-        plain = [p for p in pieces if _PLAIN.fullmatch(p)] if runs else []
-        single = [p for p in pieces if not _PLAIN.fullmatch(p)] if plain else pieces
-        ids, sizes = [], []
-        if plain:
-            mark = b"" if self.widths is not None else _MARK
-            flat, _ = self._flat([(mark.join(plain[k : k + RUN_PIECES]) + mark).decode() for k in range(0, len(plain), RUN_PIECES)])
-            if self.widths is not None:
-                done = np.cumsum(self.widths[flat])
-                wanted = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))
-                ends = np.searchsorted(done, wanted) + 1
-                if done[-1] != wanted[-1] or (done[ends - 1] != wanted).any():
-                    raise ValueError("ids reach over pieces")
-                sizes.append(np.diff(ends, prepend=0))
+        ways = []
+        if self.widths is not None:
+            ways.append((_PLAIN, partial(self._by_width, widths=self.widths, left_out=0)))
+        elif self.folded is not None:
+            ways.append((_LATIN, partial(self._by_width, widths=self.folded, left_out=1)))
+        if self.mark is not None:
+            ways.append((_PLAIN, self._by_mark))
+        ids, sizes, learnt = [], [], []
+        for plain, way in ways:
+            fits = list(map(plain.fullmatch, pieces))
+            if own := list(compress(pieces, fits)):
+                pieces = [p for p, fit in zip(pieces, fits, strict=True) if not fit]
+                flat, n = way(own)
                 ids.append(flat)
-            else:
-                ends = np.flatnonzero(flat == self.mark[-1]) + 1
-                if len(ends) != len(plain):
-                    raise ValueError("marks are lost in encoding")
-                marks = (ends[:, None] - np.arange(1, len(self.mark) + 1)).ravel()
-                sizes.append(np.diff(ends, prepend=0) - len(self.mark))
-                ids.append(np.delete(flat, marks))
-        if single:
-            flat, own = self._flat([p.decode() for p in single])
+                sizes.append(n)
+                learnt += own
+        if pieces:
+            flat, own = self._flat([p.decode() for p in pieces])
             ids.append(flat)
             sizes.append(own)
+            learnt += pieces
         flat, own = np.concatenate(ids), np.concatenate(sizes)
         at = len(self.place)
         top = self.ends[at - 1] if at else 0
@@ -98,7 +96,26 @@ class Encoder:
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         self.ids[top : top + len(flat)] = flat
         self.ends[at : at + len(own)] = top + np.cumsum(own)
-        self.place.update(zip(chain(plain, single), range(at, at + len(own)), strict=True))
+        self.place.update(zip(learnt, range(at, at + len(own)), strict=True))
+
+    def _by_width(self, pieces: list[bytes], widths: np.ndarray, left_out: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain pieces in runs, and how many each has, told by the bytes that ids stand for; no id stands for ``left_out`` of a piece's."""
+        flat, _ = self._flat([b"".join(pieces[k : k + RUN_PIECES]).decode() for k in range(0, len(pieces), RUN_PIECES)])
+        done = np.cumsum(widths[flat])
+        wanted = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) - left_out)
+        ends = np.searchsorted(done, wanted) + 1
+        if done[-1] != wanted[-1] or (done[ends - 1] != wanted).any():
+            raise ValueError("ids reach over pieces")
+        return flat, np.diff(ends, prepend=0)
+
+    def _by_mark(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain pieces in runs, and how many each has, told by a mark behind each."""
+        flat, _ = self._flat([(_MARK.join(pieces[k : k + RUN_PIECES]) + _MARK).decode() for k in range(0, len(pieces), RUN_PIECES)])
+        ends = np.flatnonzero(flat == self.mark[-1]) + 1
+        if len(ends) != len(pieces):
+            raise ValueError("marks are lost in encoding")
+        marks = (ends[:, None] - np.arange(1, len(self.mark) + 1)).ravel()
+        return np.delete(flat, marks), np.diff(ends, prepend=0) - len(self.mark)
 
     def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts, and how many each has."""
@@ -110,9 +127,22 @@ class Encoder:
         """For a vocabulary of bytes, how many each id stands for: its tokens are spelt with a character per byte."""
         if "ByteLevel" not in str(self.tokenizer.decoder) or "Sequence" in str(self.tokenizer.decoder):
             return None
+        return self._spelt_widths("")
+
+    def _folded_widths(self) -> np.ndarray | None:
+        """The same for a vocabulary that leaves out blanks, marks ends of words and may fold case: it holds for letters that keep their length.
+
+        Three probes tell whether the vocabulary is one.
+        """
+        widths = self._spelt_widths(json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix") or "")
+        probes = [" a", " \u00c9a's", " Zq-9\u00ff!"]
+        ids = [self.tokenizer.encode(probe, add_special_tokens=False).ids for probe in probes]
+        return widths if all(widths[own].sum() == len(probe.encode()) - 1 for own, probe in zip(ids, probes, strict=True)) else None
+
+    def _spelt_widths(self, word_end: str) -> np.ndarray:
         widths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
-            widths[i] = len(token)
+            widths[i] = len(token.removesuffix(word_end))
         return widths
 
     def _mark_ids(self) -> list[int] | None:
@@ -157,13 +187,15 @@ class Encoder:
             pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(chunk))]
         )
         coded = pieces.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.place) > CACHE_PIECES:
             self.clear()
-        new = [w for w in words if w not in self.place]
+        known = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        new = [words[k] for k in np.flatnonzero(known < 0).tolist()]
         for k in range(0, len(new), LEARN_PIECES):
             self._learn(new[k : k + LEARN_PIECES])
-        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        known[known < 0] = np.fromiter(map(self.place.__getitem__, new), np.int64, len(new))
+        places = known[coded.indices.to_numpy()]
         ends = self.ends[places]
         begins = np.where(places > 0, self.ends[places - 1], 0)
         sizes = ends - begins

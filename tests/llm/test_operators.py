@@ -432,6 +432,20 @@ def test_runs_of_pieces_match_whole_texts(small_docs, monkeypatch):
             assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_latin_pieces_need_no_marks(monkeypatch):
+    """Of a vocabulary that folds case, words in Latin letters are encoded without marks between them; others keep their ids too."""
+    texts = ["".join(f" Wörd{k} it's Émile-{k}! ÀÞß÷×ÿ" for k in range(400)), " \u0130stanbul \u023aa \u00b5m \u03a3\u03a3 e\u0301 \u212b </w> <</w> a</w>'s\n</w>", " слово λέξη </W> x<w/>"]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = tokens.Encoder(path)
+    encoded: list[str] = []
+    plain = encoder._flat
+    monkeypatch.setattr(encoder, "_flat", lambda texts: encoded.extend(texts) or plain(texts))
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
+    want = [x.ids for x in tokens.tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert not any("Wörd" in text and "\x01" in text for text in encoded)
+
+
 def test_pipeline(spark, odd_docs):
     """Every stage's whole rows against plain versions of it."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
