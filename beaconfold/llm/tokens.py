@@ -69,10 +69,11 @@ class Encoder:
         ways = []
         if self.widths is not None:
             ways.append((_PLAIN, partial(self._by_width, widths=self.widths, left_out=0)))
-        elif self.folded is not None:
-            ways.append((_LATIN, partial(self._by_width, widths=self.folded, left_out=1)))
-        if self.mark is not None:
-            ways.append((_PLAIN, self._by_mark))
+        else:
+            if self.folded is not None:
+                ways.append((_LATIN, partial(self._by_width, widths=self.folded, left_out=1)))
+            if self.mark is not None:
+                ways.append((_PLAIN, self._by_mark))
         ids, sizes, learnt = [], [], []
         for plain, way in ways:
             fits = list(map(plain.fullmatch, pieces))
