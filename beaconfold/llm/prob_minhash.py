@@ -12,7 +12,8 @@ Texts with the same words are one text from the start: one signature stands for
 to each document. Within a band, documents are not paired with one another: each is compared with its least and
 greatest member by node, and what is linked is one class from then on. Bands that still hold several classes, for example
 of texts around one common passage, are then compared whole, in blocks of a bounded number of members, their largest class only
-with the others; two members that meet in several bands are compared in the least one. So no link within a band is lost.
+with the others; two members that meet in several bands are compared in the largest one, and where most members of a band meet in a
+larger one, these go to blocks with the others only. So no link within a band is lost.
 Shingles are told apart by 32 bits of their hash: two texts of 20,000 words have about 0.1 of them equal by chance, which
 matters for a similarity within 0.00001 of the threshold only.
 
@@ -27,6 +28,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,18 +182,32 @@ def _renamed(banded: DataFrame, roots: DataFrame) -> DataFrame:
     return banded.join(named, F.col("root") == F.col("_node"), "left").select("band", "node", F.coalesce("_root", "root").alias("root"))
 
 
+def _sized(banded: DataFrame) -> DataFrame:
+    """``banded`` with the number ``n`` of each band's members."""
+    return banded.join(banded.groupBy("band").agg(F.count("*").alias("n")), "band")
+
+
 def _blocks(banded: DataFrame) -> DataFrame:
-    """(band, i, j, node, root): every two members of different classes of a band meet in one block (i, j) at least.
+    """(band, i, j, node, root): every two members of different classes meet in a block (i, j) of their largest common band at least.
 
-    Members of the band's largest class meet only those of others, so a huge class beside few others is no burden.
+    Some members of a band, its main ones, meet only the others: those of its largest class or, if they are more, those whose largest
+    band is the same larger one, where they meet anyway. So a huge class beside few others is no burden, and a group that shares
+    many bands isn't compared whole in each.
     """
-    by_root = banded.groupBy("band", "root").agg(F.count("*").alias("n"))
-    most = F.max(F.struct("n", "root"))
-    sizes = by_root.groupBy("band").agg(most["root"].alias("main"), most["n"].alias("inside"), F.sum("n").alias("n")).where("inside < n")
+    sized = _sized(banded)
+    largest = sized.groupBy("node").agg(F.max(F.struct("n", "band")).alias("largest")).select(F.col("node").alias("_node"), F.col("largest.band").alias("kin"))
+    members = sized.join(largest, F.col("node") == F.col("_node")).select("band", "node", "root", "n", "kin")
+    by_root = members.groupBy("band", "n", "root").agg(F.count("*").alias("of_root"))
+    by_kin = members.where("kin <> band").groupBy("band", "kin").agg(F.count("*").alias("of_kin"))
+    most_root, most_kin = F.max(F.struct("of_root", "root")), F.max(F.struct("of_kin", "kin"))
+    sizes = by_root.groupBy("band", "n").agg(most_root["root"].alias("main"), most_root["of_root"].alias("of_main"))
+    sizes = sizes.join(by_kin.groupBy("band").agg(most_kin["kin"].alias("main_kin"), most_kin["of_kin"].alias("of_main_kin")), "band", "left")
+    by = F.coalesce(F.col("of_main_kin") > F.col("of_main"), F.lit(False))
+    sizes = sizes.select("band", "n", "main", "main_kin", by.alias("by_kin"), F.greatest("of_main", "of_main_kin").alias("inside")).where("of_main < n AND inside < n")
     parts = lambda n: F.ceil(n / F.lit(BLOCK_MEMBERS)).cast("int")
-    sizes = sizes.select("band", "main", parts(F.col("n") - F.col("inside")).alias("others"), parts(F.col("inside")).alias("mains"))
+    sizes = sizes.select("band", "main", "main_kin", "by_kin", parts(F.col("n") - F.col("inside")).alias("others"), parts(F.col("inside")).alias("mains"))
     key = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
-    is_main = F.col("root") == F.col("main")
+    is_main = F.when(F.col("by_kin"), F.col("kin") == F.col("main_kin")).otherwise(F.col("root") == F.col("main"))
     own = F.pmod(F.xxhash64("node"), F.when(is_main, F.col("mains")).otherwise(F.col("others")))
     others = F.sequence(F.lit(0), F.col("others") - 1)
     mains = F.sequence(F.col("others"), F.col("others") + F.col("mains") - 1)
@@ -200,7 +216,7 @@ def _blocks(banded: DataFrame) -> DataFrame:
         F.transform(others, lambda x: key(F.least(F.col("own"), x.cast("bigint")), F.greatest(F.col("own"), x.cast("bigint")))),
         F.transform(mains, lambda x: key(F.col("own"), x)),
     )
-    met = banded.join(sizes, "band").withColumn("own", own)
+    met = members.join(sizes, "band").withColumn("own", own)
     return met.select("band", "node", "root", F.explode(F.when(is_main, as_main).otherwise(as_other)).alias("key")).select("band", "key.i", "key.j", "node", "root")
 
 
@@ -252,6 +268,16 @@ def meet_first(bands: list[np.ndarray], band: int) -> np.ndarray:
     return first
 
 
+def by_size(bands: pa.ListArray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Each member's bands (n, band) as places in the order from the largest band down; all the bands and their places."""
+    flat = pc.list_flatten(bands)
+    n, band = (pc.struct_field(flat, name).to_numpy() for name in ("n", "band"))
+    order = np.lexsort((band, n))[::-1]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(np.append(True, np.diff(band[order]) != 0)[: len(order)]) - 1
+    return np.split(place, np.cumsum(pc.list_value_length(bands).to_numpy())[:-1]), band, place
+
+
 def _may_reach(texts: list[np.ndarray], threshold: float) -> np.ndarray:
     """Which pairs may be similar by their sizes: of two texts without repeats the shorter must have enough shingles."""
     distinct = np.array([len(np.unique(t)) for t in texts], float)
@@ -265,8 +291,9 @@ def _compare(threshold: float):
         names, root = np.unique(np.array(block.column("root").to_pylist(), object), return_inverse=True)
         out: list[tuple[bytes, bytes]] = []
         if len(names) > 1:
-            bands = [np.array(b, np.int64) for b in block.column("bands").to_pylist()]
-            apart = np.triu(root[:, None] != root[None, :], 1) & meet_first(bands, block.column("band")[0].as_py())
+            bands, band, place = by_size(block.column("bands").combine_chunks())
+            own = place[np.flatnonzero(band == block.column("band")[0].as_py())[0]]
+            apart = np.triu(root[:, None] != root[None, :], 1) & meet_first(bands, own)
             if apart.any():
                 texts = [np.frombuffer(x, "<u4") for x in block.column("shingles").to_pylist()]
                 apart &= _may_reach(texts, threshold)
@@ -319,7 +346,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     # Classes so far are the nodes now: what is linked stays linked, and the graph gets smaller.
     opened, opened_at = staged(_several(_renamed(banded.withColumn("root", F.col("node")), found)), "open-bands")
     discard(spark, banded_at)
-    carried = opened.groupBy("node").agg(F.collect_set("band").alias("bands")).join(payload, "node")
+    carried = _sized(opened).groupBy("node").agg(F.collect_set(F.struct("n", "band")).alias("bands")).join(payload, "node")
     # A stated number of partitions: blocks are costly for their bytes, so small ones aren't put together.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = _blocks(opened).join(carried, "node").repartition(parts, "band", "i", "j")

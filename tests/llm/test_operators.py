@@ -356,6 +356,32 @@ def test_blocks_of_groups(spark, monkeypatch):
     assert met == {(a, b) for band, a, x in members for other, b, y in members if band == other and x != y}
 
 
+def test_blocks_of_groups_that_share_bands(spark, monkeypatch):
+    """Members of several bands meet in the largest one; a band whose members all meet in a larger one needs no block."""
+    monkeypatch.setattr(prob_minhash, "BLOCK_MEMBERS", 3)
+    inside = {1: set(range(31)), 2: set(range(30)), 3: {*range(20), *range(40, 45)}, 4: {*range(10), 40, 41, 50, 51}, -5: {40, 41}, 6: {50, 51}}
+    nodes = {x: f"{x:02d}".encode() for own in inside.values() for x in own}
+    root = {x: nodes[x - x % 2] if x < 8 else nodes[x] for x in nodes}
+    blocks = {}
+    rows = prob_minhash._blocks(spark.createDataFrame([(b, nodes[x], root[x]) for b, own in inside.items() for x in own], "band bigint, node binary, root binary")).collect()
+    for r in rows:
+        blocks.setdefault((r.band, r.i, r.j), set()).add(int(r.node))
+    largest = lambda bands: max(bands, key=lambda b: (len(inside[b]), b))
+    for x, y in itertools.combinations(nodes, 2):
+        if root[x] != root[y] and (both := [b for b, own in inside.items() if x in own and y in own]):
+            assert any(band == largest(both) and {x, y} <= own for (band, _, _), own in blocks.items())
+    assert not {r.band for r in rows} & {2, -5, 6}
+
+
+def test_bands_by_size():
+    """Bands are put in the same order as by Spark: from the largest down, of equal ones the greater first."""
+    bands = [[(5, -3), (9, 1)], [(9, 1), (5, 7), (2, 0)], [], [(5, -3)]]
+    column = pa.array([[{"n": n, "band": b} for n, b in own] for own in bands], pa.list_(pa.struct([("n", pa.int64()), ("band", pa.int64())])))
+    places, band, place = prob_minhash.by_size(column)
+    assert [p.tolist() for p in places] == [[2, 0], [0, 1, 3], [], [2]]
+    assert dict(zip(band.tolist(), place.tolist(), strict=True)) == {1: 0, 7: 1, -3: 2, 0: 3}
+
+
 def test_similar_in_block():
     """Plain links are exact, no link by probability Jaccard is missed, and pairs are compared in their least band only."""
     rng = np.random.default_rng(3)
